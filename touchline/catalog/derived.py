@@ -36,16 +36,26 @@ def _grouped(value: str) -> str:
 
 
 def _int_text(i: int) -> str:
-    number = f"(l_orderkey * {i + 3} + l_partkey * 7 + l_linenumber) % {11 + i}"
-    return f"""CASE WHEN (l_orderkey + {i}) % 13 = 0 THEN NULL WHEN (l_orderkey + {i}) % 29 = 0 THEN 'n.a.'
-        ELSE CAST({number} AS STRING) || CASE WHEN l_linenumber % 3 = 0 THEN '.0' ELSE '' END END"""
+    """A varying whole number; some columns have gaps, junk or a '.0' tail."""
+    text = f"CAST((l_orderkey * {i + 3} + l_partkey * 7 + l_linenumber) % {11 + i} AS STRING)"
+    if i % 3 == 0:
+        text = f"NULLIF({text}, '{i % 7}')"
+    if i % 4 == 1:
+        text += " || '.0'"
+    if i % 5 == 0:
+        text = f"CASE WHEN l_linenumber = {i % 7 + 1} THEN 'n.a.' ELSE {text} END"
+    return text
 
 
 def _double_text(i: int) -> str:
-    whole = f"(l_orderkey * {i + 2} + l_partkey) % {5 + i}"
-    cents = f"(l_partkey * {i + 5} + l_orderkey * 3 + l_linenumber) % 100"
-    return f"""CASE WHEN (l_orderkey + {i}) % 11 = 0 THEN NULL WHEN (l_orderkey + {i}) % 31 = 0 THEN '-'
-        ELSE CAST({whole} AS STRING) || '.' || LPAD(CAST({cents} AS STRING), 2, '0') END"""
+    """A varying number with two decimals; some columns have gaps or junk."""
+    text = f"CAST((l_orderkey * {i + 2} + l_partkey) % {7 + i} AS STRING)"
+    if i % 3 == 1:
+        text = f"NULLIF({text}, '{i % 5}')"
+    text += f" || '.{i + 10}'"
+    if i % 6 == 0:
+        text = f"CASE WHEN l_linenumber = {i % 7 + 1} THEN '-' ELSE {text} END"
+    return text
 
 
 def _players() -> str:

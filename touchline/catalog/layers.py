@@ -264,6 +264,20 @@ def rounded(df: DataFrame, columns, digits: int = 6) -> DataFrame:
     return df.withColumns({c: F.round(c, digits) for c in columns})
 
 
+_WAREHOUSES: dict[tuple[str, str], Medallion] = {}
+
+
+def warehouse(spark: SparkSession, sf_dir: str) -> Medallion:
+    """The stored tables over one data folder, built on first use and then shared
+    by the queries of a session, as the tables of a warehouse are."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    known = _WAREHOUSES.get(key)
+    if known is None or not known.intact():
+        known = Medallion(bronze_players(spark, sf_dir), bronze_market(spark, sf_dir))
+        _WAREHOUSES[key] = known
+    return known
+
+
 # One consumer above bronze: a lazy plan reads just the columns it needs.
 
 
@@ -298,14 +312,13 @@ def _dim_player(spark, sf_dir):
     return gold.dim_player(stg, _dim_player_bridge(spark, sf_dir))
 
 
-# Several consumers: the layers below are stored, as a run of the pipeline does.
+# Several consumers: the layers below are stored, and this one is planned on them.
 
 
 def _stored(name: str, metrics=(), sql: str | None = None, digits: int = 6):
     @query(name, sql or oracle(name))
     def run(spark, sf_dir):
-        run_of = Medallion(bronze_players(spark, sf_dir), bronze_market(spark, sf_dir))
-        return rounded(run_of.plan(name), metrics, digits)
+        return rounded(warehouse(spark, sf_dir).plan(name), metrics, digits)
 
     return run
 

@@ -181,8 +181,9 @@ def _search(
         .select("gid", "role", "vec", "floor", "home", "block")
     )
     # Each pair of blocks is one group: both sides are about `block_rows` at most.
-    hosts = visits.select("home", "block").distinct().join(
-        blocks.select("role", "vec", "members", "block"), "block"
+    pairs = visits.select(F.col("home").alias("from"), F.col("block").alias("to")).distinct()
+    hosts = pairs.join(
+        blocks.select("role", "vec", "members", F.col("block").alias("to")), "to"
     )
 
     def score(targets: pd.DataFrame, candidates: pd.DataFrame) -> pd.DataFrame:
@@ -203,7 +204,7 @@ def _search(
     )
     scored = (
         visits.groupBy("home", "block")
-        .cogroup(hosts.groupBy("home", "block"))
+        .cogroup(hosts.groupBy("from", "to"))
         .applyInPandas(score, result)
         .withColumn("minus", -F.col("score"))
     )

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 
 from touchline import config
@@ -67,10 +68,22 @@ class Medallion:
     def plan(self, name: str) -> DataFrame:
         return PLANS[name](self)
 
+    def intact(self) -> bool:
+        """Whether every table stored so far is still there."""
+        try:
+            for name in self._stored:
+                spark = self._stored[name].sparkSession
+                spark.read.schema(self._stored[name].schema).parquet(self._path(name))
+        except AnalysisException:
+            return False
+        return True
+
+    def _path(self, name: str) -> str:
+        return f"{self.warehouse.rstrip('/')}/{name}"
+
     def __getitem__(self, name: str) -> DataFrame:
         if name not in self._stored:
-            path = f"{self.warehouse.rstrip('/')}/{name}"
-            self._stored[name] = refresh(self.plan(name), path)
+            self._stored[name] = refresh(self.plan(name), self._path(name))
         return self._stored[name]
 
 
