@@ -31,9 +31,19 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Rows of a table with fewer splits than cores, spread over them before
+    costly expressions; a table with enough splits is left as it is."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+
+
 def derive(spark: SparkSession, sf_dir: str, sql: str, *tables: str) -> DataFrame:
-    """Spark SQL over the named tables, given as {name} in the text."""
-    return spark.sql(sql, **{t: table(spark, sf_dir, t) for t in tables})
+    """Spark SQL over the named tables, given as {name} in the text; the first is
+    the large one."""
+    frames = {t: table(spark, sf_dir, t) for t in tables}
+    frames[tables[0]] = spread(frames[tables[0]])
+    return spark.sql(sql, **frames)
 
 
 def load_all() -> None:

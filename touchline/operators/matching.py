@@ -20,9 +20,13 @@ from touchline import config
 from touchline.functions.jaro import BOOST_ABOVE, PREFIX_MAX, PREFIX_SCALE, similarity_points
 from touchline.functions.text import clean_name, surrogate_key
 from touchline.operators.rows import rank_per_key
+from touchline.session import spread_by
 
 BLOCK_LETTERS = 3
 CHUNK_ROWS = 2000
+# Up to so many candidates are all compared; bounds pay off beyond.
+FEW = 32
+_NO_BOUND = 1_000_000
 MATCH_COLUMNS = (
     "player_from_players", "player_from_market", "player_team", "market_team",
     "p_clean", "m_clean", "name_sim", "team_sim", "team_match", "final_score",
@@ -128,9 +132,9 @@ def _search_blocks(left: DataFrame, right: DataFrame, chunk_rows: int) -> DataFr
         "team_match int, final_score double"
     )
     return (
-        chunked(left, "left_chunk", "right_chunk")
+        spread_by(chunked(left, "left_chunk", "right_chunk"), *keys)
         .groupBy(*keys)
-        .cogroup(chunked(right, "right_chunk", "left_chunk").groupBy(*keys))
+        .cogroup(spread_by(chunked(right, "right_chunk", "left_chunk"), *keys).groupBy(*keys))
         .applyInPandas(_best_of_chunk, schema)
     )
 
@@ -139,46 +143,66 @@ def _best_of_chunk(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
     out = []
     if len(left) and len(right):
         # In tie order, so that the first of equal scores is the one to keep.
-        right = right.sort_values(["name", "team"], na_position="first", kind="stable")
-        names, name_of = np.unique(right["clean"].to_numpy(str), return_inverse=True)
-        teams, team_of = np.unique(right["same"].to_numpy(str), return_inverse=True)
-        name_bound, team_bound = _Bound(names), _Bound(teams)
-        w = config.MATCH_WEIGHTS
-        best_for: dict[tuple[str, str], tuple] = {}
-        market, market_team = right["name"].to_numpy(), right["team"].to_numpy()
+        market = sorted(
+            zip(right["name"], right["team"], right["clean"], right["same"]),
+            key=lambda r: (r[0], r[1] is not None, r[1] or ""),
+        )
+        search = _Search([r[2] for r in market], [r[3] for r in market])
         for player, team, clean, same in zip(left["name"], left["team"], left["clean"], left["same"]):
-            if (clean, same) not in best_for:
-                equal_team = teams == same
-                bound = w["name"] * name_bound(clean)[name_of]
-                bound += (w["team"] * team_bound(same) + w["same_team"] * equal_team)[team_of]
-                best = None
-                for j in _descending(bound):
-                    if best is not None and bound[j] < best[0]:
-                        break
-                    m_clean, m_same = names[name_of[j]], teams[team_of[j]]
-                    ns = name_bound.exact(clean, m_clean)
-                    ts = team_bound.exact(same, m_same)
-                    tm = int(equal_team[team_of[j]])
-                    score = w["name"] * ns + w["team"] * ts + w["same_team"] * tm
-                    rank = (score, clean == m_clean, -j)
-                    if best is None or rank > best[:3]:
-                        best = (*rank, ns, ts, tm)
-                best_for[clean, same] = best
-            score, _, minus_j, ns, ts, tm = best_for[clean, same]
-            j = -minus_j
+            score, j, ns, ts, tm = search.best(clean, same)
+            name, market_team, m_clean, _ = market[j]
             out.append(
-                (player, market[j], team, market_team[j], clean, str(names[name_of[j]]),
-                 ns, ts, tm, score / 100.0)
+                (player, name, team, market_team, clean, m_clean, ns, ts, tm, score / 100.0)
             )
     return pd.DataFrame(out, columns=list(MATCH_COLUMNS))
 
 
-def _descending(bound: np.ndarray):
-    """Indices by falling bound; the first few without sorting the rest."""
-    few = np.flatnonzero(bound == bound.max())
-    yield from few
-    rest = np.argsort(-bound, kind="stable")
-    yield from rest[len(few):]
+class _Search:
+    """Best of a chunk of market names for one cleaned name and team."""
+
+    def __init__(self, cleans: list[str], sames: list[str]):
+        self.cleans, self.sames = cleans, sames
+        self.known: dict[tuple[str, str], tuple] = {}
+        self.names = self.teams = None
+        if len(cleans) > FEW:
+            names, self.name_of = np.unique(cleans, return_inverse=True)
+            teams, self.team_of = np.unique(sames, return_inverse=True)
+            self.names, self.teams = _Bound(names), _Bound(teams)
+        self.scores: dict[tuple[str, str], int] = {}
+
+    def _points(self, a: str, b: str) -> int:
+        if (a, b) not in self.scores:
+            self.scores[a, b] = similarity_points(a, b)
+        return self.scores[a, b]
+
+    def best(self, clean: str, same: str) -> tuple:
+        if (clean, same) not in self.known:
+            self.known[clean, same] = self._find(clean, same)
+        return self.known[clean, same]
+
+    def _find(self, clean: str, same: str) -> tuple:
+        w = config.MATCH_WEIGHTS
+        best, top = None, None
+        for j, bound in self._candidates(clean, same):
+            if top is not None and bound < top[0]:
+                break
+            ns = self._points(clean, self.cleans[j])
+            ts = self._points(same, self.sames[j])
+            tm = int(same == self.sames[j])
+            score = w["name"] * ns + w["team"] * ts + w["same_team"] * tm
+            rank = (score, clean == self.cleans[j], -j)
+            if top is None or rank > top:
+                best, top = (score, j, ns, ts, tm), rank
+        return best
+
+    def _candidates(self, clean: str, same: str):
+        """Indices by falling upper bound of their score, with the bound."""
+        w = config.MATCH_WEIGHTS
+        if self.names is None:
+            return ((j, _NO_BOUND) for j in range(len(self.cleans)))
+        teams = w["team"] * self.teams(same) + w["same_team"] * (self.teams.texts == same)
+        bound = w["name"] * self.names(clean)[self.name_of] + teams[self.team_of]
+        return ((j, bound[j]) for j in np.argsort(-bound, kind="stable"))
 
 
 class _Bound:
@@ -188,7 +212,6 @@ class _Bound:
         self.texts = texts
         self.lengths = np.array([len(t) for t in texts])
         self.counts = np.stack([self._count(t) for t in texts])
-        self.known: dict[tuple[str, str], int] = {}
         self.bounds: dict[str, np.ndarray] = {}
 
     @staticmethod
@@ -207,11 +230,6 @@ class _Bound:
             self.bounds[text] = np.floor(100.0 * high + 0.5 + 1e-9).astype(np.int64)
         return self.bounds[text]
 
-    def exact(self, a: str, b: str) -> int:
-        if (a, b) not in self.known:
-            self.known[a, b] = similarity_points(a, str(b))
-        return self.known[a, b]
-
 
 def accept(
     matches: DataFrame,

@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 from touchline import config
 from touchline.functions.numbers import dot, unit
 from touchline.operators.rows import rank_per_key
-from touchline.session import materialise
+from touchline.session import materialise, spread_by
 
 MAX_PIVOTS = 1024
 ROLE_SLOTS = 64
@@ -161,7 +161,7 @@ def _search(
         floors = [floor for _, floor in _best_in_block(pdf, pdf, n, mismatch)]
         return pdf.drop(columns=["members"]).assign(floor=floors)
 
-    floors = blocks.groupBy("block").applyInPandas(
+    floors = spread_by(blocks, "block").groupBy("block").applyInPandas(
         at_home,
         "gid string, role string, vec array<double>, slot int, block long, floor double",
     )
@@ -203,8 +203,9 @@ def _search(
         ]
     )
     scored = (
-        visits.groupBy("home", "block")
-        .cogroup(hosts.groupBy("from", "to"))
+        spread_by(visits, "home", "block")
+        .groupBy("home", "block")
+        .cogroup(spread_by(hosts, "from", "to").groupBy("from", "to"))
         .applyInPandas(score, result)
         .withColumn("minus", -F.col("score"))
     )

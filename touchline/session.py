@@ -22,6 +22,8 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
+        # Very wide projections: methods the JIT compiles, not the largest ones.
+        .config("spark.sql.codegen.hugeMethodLimit", "8000")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config(
             "spark.sql.streaming.stateStore.providerClass",
@@ -60,6 +62,15 @@ def materialise(df, label: str):
     return spark.read.schema(df.schema).parquet(path)
 
 
+def spread_by(df, *keys: str):
+    """Hash `df` by `keys` into the session's number of shuffle partitions.
+
+    For groups that are small in bytes but costly to compute: a stated number is
+    kept, where adaptive execution would merge small partitions into few tasks.
+    """
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
+
+
 _SHIPPED: set[str] = set()
 
 
