@@ -1 +1,234 @@
+"""Match events: the driver's events table in the role of a match feed."""
 
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from touchline import config
+from touchline.catalog import derive, query, table
+from touchline.catalog.derived import for_duckdb
+from touchline.catalog.layers import rounded
+from touchline.operators import events as ev
+from touchline.operators.joins import unsent, with_lookup
+from touchline.session import scratch_dir
+from touchline.sources.pages import extract_embedded_json
+from touchline.streaming import live
+
+# Events under the names and texts of the feed: junk coordinates, missing flags.
+FEED = """SELECT event_id AS id, user_id AS playerId, event_type AS type,
+    CASE WHEN event_type = 'view' THEN NULL ELSE event_type = 'purchase' END AS isGoal,
+    event_type IN ('purchase', 'click') AS isShot,
+    CASE WHEN event_type = 'error' THEN 'yellow' END AS cardType,
+    CASE WHEN event_id % 17 = 3 THEN 'off' ELSE CAST(FLOOR(value) AS STRING) END AS x,
+    CASE WHEN event_id % 13 = 3 THEN NULL ELSE CAST(event_id % 95 AS STRING) END AS minute,
+    CASE WHEN event_id % 19 = 3 THEN 'late' ELSE CAST(event_id % 60 AS STRING) END AS second FROM {events}"""
+FEED_SQL = for_duckdb(FEED, "events")
+
+
+def _feed(spark, sf_dir):
+    return derive(spark, sf_dir, FEED, "events")
+
+
+@query(
+    "event_clean",
+    f"""SELECT id, playerId AS player_id, type AS type_display_name, COALESCE(isGoal, FALSE) AS is_goal, isShot AS is_shot,
+        cardType IS NOT NULL AS card_type, FALSE AS is_touch, TRY_CAST(x AS DOUBLE) AS x,
+        COALESCE(TRY_CAST(minute AS INTEGER), 0) AS minute, COALESCE(TRY_CAST(second AS DOUBLE), 0) AS second,
+        COALESCE(c_name, 'Unknown') AS player_name
+    FROM ({FEED_SQL}) LEFT JOIN (SELECT * FROM customer WHERE c_acctbal > 0 AND c_mktsegment <> 'FURNITURE')
+        ON playerId = c_custkey WHERE type <> 'signup'""",
+)
+def _event_clean(spark, sf_dir):
+    named = ev.flatten_names(ev.rename_events(_feed(spark, sf_dir)), ("type",))
+    clean = ev.drop_noise(ev.coerce_numbers(ev.ensure_flags(named)), noise="signup")
+    people = table(spark, sf_dir, "customer").where("c_acctbal > 0 AND c_mktsegment <> 'FURNITURE'")
+    return with_lookup(clean, people, "player_id", "c_custkey", "c_name", "player_name")
+
+
+ROUTES_SQL = f"""SELECT topic, COUNT(*) AS events FROM (SELECT 'match.events' AS topic FROM ({FEED_SQL})
+    UNION ALL SELECT CASE WHEN isGoal THEN 'match.goals' WHEN isShot THEN 'match.shots' ELSE 'match.cards' END
+        FROM ({FEED_SQL}) WHERE isGoal OR isShot OR cardType IS NOT NULL) GROUP BY 1"""
+
+
+@query("event_routes", ROUTES_SQL)
+def _event_routes(spark, sf_dir):
+    return ev.topic_counts(ev.route_events(ev.ensure_flags(ev.rename_events(_feed(spark, sf_dir)))))
+
+
+STATUSES = """SELECT event_id, CASE event_type WHEN 'view' THEN 'Live now' WHEN 'signup' THEN 'HT' WHEN 'purchase' THEN '2'
+    WHEN 'click' THEN '6' END AS status FROM {events}"""
+
+
+@query(
+    "live_filter",
+    f"""SELECT event_id, status FROM ({for_duckdb(STATUSES, 'events')})
+    WHERE LOWER(status) LIKE '%live%' OR LOWER(status) IN ('1', '2', 'ht')""",
+)
+def _live_filter(spark, sf_dir):
+    return derive(spark, sf_dir, STATUSES, "events").where(ev.is_live(F.col("status")))
+
+
+@query(
+    "unsent_events",
+    """SELECT event_id, user_id, event_type FROM events WHERE event_id NOT IN (SELECT event_id FROM events
+        WHERE event_type = 'view' OR value > 50)""",
+)
+def _unsent_events(spark, sf_dir):
+    events = table(spark, sf_dir, "events")
+    sent = events.where("event_type = 'view' OR value > 50")
+    return unsent(events, sent, "event_id").select("event_id", "user_id", "event_type")
+
+
+SPEED = 600.0
+
+
+@query(
+    "replay_offsets",
+    f"""SELECT event_id, user_id, ROUND(delay, 6) AS delay_s,
+        ROUND(SUM(delay) OVER (PARTITION BY user_id ORDER BY clock, event_id ROWS UNBOUNDED PRECEDING), 6) AS replay_offset_s
+    FROM (SELECT *, GREATEST(0, LEAST(COALESCE(clock - LAG(clock) OVER (PARTITION BY user_id ORDER BY clock, event_id), 0)
+            / {SPEED}::DOUBLE, {config.REPLAY_CAP_SECONDS}::DOUBLE)) AS delay
+        FROM (SELECT event_id, user_id, CAST(FLOOR(EPOCH(ts)) AS BIGINT) AS clock FROM events))""",
+)
+def _replay_offsets(spark, sf_dir):
+    clock = F.unix_seconds(F.col("ts").cast("timestamp"))
+    rows = table(spark, sf_dir, "events").select("event_id", "user_id", clock.alias("clock"))
+    timed = ev.replay_offsets(rows, "user_id", "clock", "event_id", SPEED)
+    return rounded(timed.drop("clock"), ("delay_s", "replay_offset_s"))
+
+
+# --- pages and payloads -----------------------------------------------------
+
+
+@query(
+    "html_extract",
+    r"SELECT page_id, REGEXP_EXTRACT(html, 'track\((\d+)\)', 1) AS status FROM pages",
+)
+def _html_extract(spark, sf_dir):
+    """Each page's tracking call is turned into the match object of a match page,
+    then cut out and parsed as one."""
+    script = F.regexp_replace("html", r"track\((\d+)\);", 'matchCentreData: {"status": "$1"},\n')
+    pages = table(spark, sf_dir, "pages").withColumn("html", script)
+    return extract_embedded_json(pages).select("page_id", F.col("doc.status").alias("status"))
+
+
+# A match page per event, as text: two listed people, of whom one may be the
+# event's player, nested display names, and now and then a bare word instead.
+MATCH_PAGE = """SELECT event_id, '<script>require.config.params["args"] = {{matchCentreData: {{"status": "'
+    || CASE WHEN event_type = 'view' THEN 'live' ELSE '6' END
+    || '", "home": {{"teamId": 1, "name": "Home", "players": [{{"playerId": ' || CAST(user_id AS STRING)
+    || ', "name": "Player ' || CAST(user_id AS STRING) || '"}}, {{"playerId": 900001, "name": "Keeper"}}]}}'
+    || ', "away": {{"teamId": 2, "name": "Away", "players": []}}, "events": [{{"id": ' || CAST(event_id AS STRING)
+    || ', "eventId": 7, "minute": ' || CAST(event_id % 95 AS STRING)
+    || CASE WHEN event_id % 3 = 0 THEN '' ELSE ', "second": ' || CAST(event_id % 60 AS STRING) END
+    || ', "teamId": ' || CAST(1 + event_id % 3 AS STRING)
+    || CASE WHEN event_id % 7 = 3 THEN '' ELSE ', "playerId": ' || CAST(user_id + event_id % 2 AS STRING) END
+    || CASE WHEN event_type = 'purchase' THEN ', "isGoal": true, "isShot": true' ELSE '' END
+    || CASE WHEN event_type = 'error' THEN ', "cardType": {{"displayName": "Yellow"}}' ELSE '' END
+    || ', "type": {{"displayName": "' || CASE WHEN event_type = 'click' THEN 'OffsideGiven' ELSE event_type END || '"}}'
+    || ', "outcomeType": ' || CASE WHEN event_id % 5 = 0 THEN '"none"' ELSE '{{"displayName": "Successful"}}' END
+    || '}}]}},' || CHR(10) || ' matchId: 3}}</script>' AS html FROM {events}"""
+
+
+def _match_events(spark, sf_dir):
+    pages = derive(spark, sf_dir, MATCH_PAGE, "events")
+    docs = extract_embedded_json(pages).withColumn("match_url", F.lit("https://example.org/match"))
+    return ev.clean_events(ev.explode_match(docs))
+
+
+@query(
+    "match_pages",
+    """SELECT event_id AS id, user_id + event_id % 2 AS player_id, 1 + event_id % 3 AS team_id,
+        CASE WHEN event_id % 2 = 0 THEN 'Player ' || CAST(user_id AS VARCHAR) ELSE 'Unknown' END AS player_name,
+        CASE event_id % 3 WHEN 0 THEN 'Home' WHEN 1 THEN 'Away' ELSE 'Unknown' END AS team_name,
+        event_type AS type_display_name,
+        CASE WHEN event_id % 5 = 0 THEN 'none' ELSE 'Successful' END AS outcome_type_display_name,
+        event_type = 'purchase' AS is_goal, event_type = 'purchase' AS is_shot, event_type = 'error' AS card_type,
+        CAST(event_id % 95 AS INTEGER) AS minute,
+        CASE WHEN event_id % 3 = 0 THEN 0 ELSE event_id % 60 END::DOUBLE AS second,
+        event_type = 'view' AS live
+    FROM events WHERE event_type <> 'click' AND event_id % 7 <> 3""",
+)
+def _match_pages(spark, sf_dir):
+    return _match_events(spark, sf_dir).select(
+        "id", "player_id", "team_id", "player_name", "team_name", "type_display_name",
+        "outcome_type_display_name", "is_goal", "is_shot", "card_type", "minute", "second",
+        ev.is_live(F.col("status")).alias("live"),
+    )
+
+
+@query(
+    "json_payload",
+    """SELECT event_id, CAST(JSON_EXTRACT(props, '$.k') AS INTEGER) AS k,
+        '{"id":' || event_id || ',"event_type":"' || event_type || '","k":' || CAST(JSON_EXTRACT(props, '$.k') AS VARCHAR) || '}'
+        AS payload, event_type AS name FROM events""",
+)
+def _json_payload(spark, sf_dir):
+    """Unpack, pack as a keyed message, and read a name back out of it."""
+    k = F.from_json("props", "k int")["k"]
+    rows = table(spark, sf_dir, "events").select(F.col("event_id").alias("id"), "event_type", k.alias("k"))
+    packed = live.encode_events(rows)
+    return packed.select(
+        F.col("key").cast("bigint").alias("event_id"),
+        F.get_json_object("value", "$.k").cast("int").alias("k"),
+        F.col("value").alias("payload"),
+        F.get_json_object("value", "$.event_type").alias("name"),
+    )
+
+
+# --- streams ----------------------------------------------------------------
+
+
+def _stream(spark, sf_dir):
+    """The events file as a stream, in which every event arrives twice."""
+    schema = table(spark, sf_dir, "events").schema
+
+    def once():
+        options = {"pathGlobFilter": "events.parquet"}
+        return live.event_source(spark, "parquet", options, schema, sf_dir)
+
+    both = once().unionByName(once())
+    return both.withColumn("event_timestamp", F.col("ts").cast("timestamp")).select(
+        F.col("event_id").alias("id"),
+        F.col("user_id").alias("player_id"),
+        F.col("event_type").alias("type_display_name"),
+        (F.col("event_type") == "purchase").alias("is_goal"),
+        F.col("event_type").isin("purchase", "click").alias("is_shot"),
+        (F.col("event_type") == "error").alias("card_type"),
+        F.col("value").cast("float").alias("x"),
+        (F.col("event_id") % 95).cast("int").alias("minute"),
+        F.lit("https://example.org/match").alias("match_url"),
+        "event_timestamp",
+    )
+
+
+@query(
+    "stream_dedup",
+    """SELECT event_id AS id, user_id AS player_id, event_type AS type_display_name, event_type = 'purchase' AS is_goal,
+        CAST(event_id % 95 AS INTEGER) AS minute, ROUND(CAST(CAST(value AS FLOAT) AS DOUBLE), 4) AS x FROM events""",
+)
+def _stream_dedup(spark, sf_dir):
+    """Messages are packed, read back as the event table's columns, deduplicated
+    by id and appended to the table, which takes no id twice."""
+    home = scratch_dir(spark, "live")
+    messages = live.encode_events(_stream(spark, sf_dir))
+    unique = live.dedup_stream(live.decode_events(messages))
+    layout = ("match_url", "minute", "second")
+    live.event_sink(
+        unique, f"{home}/checkpoint", live.run_mode(live=False), live.insert_ignore(f"{home}/table", layout=layout)
+    ).awaitTermination()
+    stored = live.read_sink(spark, f"{home}/table", config.LIVE_EVENT_DDL)
+    return stored.select(
+        "id", "player_id", "type_display_name", "is_goal", "minute",
+        F.round(F.col("x").cast("double"), 4).alias("x"),
+    )
+
+
+@query("stream_routes", ROUTES_SQL)
+def _stream_routes(spark, sf_dir):
+    home = scratch_dir(spark, "routes")
+    routed = ev.route_events(ev.ensure_flags(live.dedup_stream(_stream(spark, sf_dir))))
+    live.event_sink(
+        routed, f"{home}/checkpoint", live.run_mode(live=False), live.write_routes(f"{home}/topics")
+    ).awaitTermination()
+    return ev.topic_counts(spark.read.parquet(f"{home}/topics"))

@@ -1 +1,103 @@
+"""CSV ingestion: tables written out as a CSV tree, then read as bronze."""
 
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from touchline.catalog import query, table
+from touchline.session import scratch_dir
+from touchline.sources import csv_tree
+from touchline.sources.tables import (
+    align_schema,
+    append_bronze,
+    missing_columns,
+    read_table,
+    write_table,
+)
+
+
+def _tree(spark, sf_dir) -> str:
+    """root/geo/nation, root/people/customer and root/people/supplier, each with
+    its own header; some names need normalising."""
+    root = scratch_dir(spark, "tree")
+    nation, customer, supplier = (table(spark, sf_dir, t) for t in ("nation", "customer", "supplier"))
+    padded = F.concat(F.lit("  "), F.col("c_name"), F.lit(" "))
+    parts = {
+        "geo/nation": nation.select("n_nationkey", F.col("n_name").alias(" Full  Name % "), "n_regionkey"),
+        "people/customer": customer.select(
+            "c_custkey", padded.alias("Full Name"), "c_acctbal", F.col("c_nationkey").alias("n_nationkey"),
+            F.when(F.col("c_mktsegment") == "MACHINERY", "N/A").otherwise(F.col("c_mktsegment")).alias("segment"),
+        ),
+        "people/supplier": supplier.select(
+            F.col("s_acctbal").alias("saves"), F.col("s_name").alias("full-name"), "s_suppkey"
+        ),
+    }
+    for folder, df in parts.items():
+        df.write.option("header", "true").option("ignoreLeadingWhiteSpace", "false").option(
+            "ignoreTrailingWhiteSpace", "false"
+        ).csv(f"{root}/{folder}")
+    return root
+
+
+COLUMNS = ("C_ACCTBAL", "C_CUSTKEY", "FULL_NAME", "N_NATIONKEY", "N_REGIONKEY", "S_SUPPKEY", "SAVES", "SEGMENT")
+INGESTED_SQL = """SELECT 'geo' AS league, 'nation' AS team, NULL AS c_acctbal, NULL AS c_custkey, n_name AS full_name,
+        CAST(n_nationkey AS VARCHAR) AS n_nationkey, CAST(n_regionkey AS VARCHAR) AS n_regionkey, NULL AS s_suppkey,
+        NULL AS saves, NULL AS segment FROM nation
+    UNION ALL SELECT 'people', 'customer', CAST(c_acctbal AS VARCHAR), CAST(c_custkey AS VARCHAR), c_name,
+        CAST(c_nationkey AS VARCHAR), NULL, NULL, NULL, NULLIF(c_mktsegment, 'MACHINERY') FROM customer
+    UNION ALL SELECT 'people', 'supplier', NULL, NULL, s_name, NULL, NULL, CAST(s_suppkey AS VARCHAR),
+        CAST(s_acctbal AS VARCHAR), NULL FROM supplier"""
+
+
+@query("csv_ingest", INGESTED_SQL)
+def _csv_ingest(spark, sf_dir):
+    bronze = csv_tree.ingest_csv_tree(spark, _tree(spark, sf_dir), "batch-1")
+    return bronze.select(
+        F.col("_LEAGUE").alias("league"), F.col("_TEAM").alias("team"), *[F.col(c).alias(c.lower()) for c in COLUMNS]
+    )
+
+
+@query(
+    "file_classify",
+    f"""SELECT 'geo' AS league, 'nation' AS team, 'outfield' AS player_type, COUNT(*) AS loaded FROM nation
+    UNION ALL SELECT 'people', 'supplier', 'goalkeeper', COUNT(*) FROM supplier
+    UNION ALL SELECT 'people', 'customer', CASE WHEN BOOL_OR(c_mktsegment = 'BUILDING') THEN 'goalkeeper' ELSE 'outfield' END,
+        COUNT(*) FROM customer""",
+)
+def _file_classify(spark, sf_dir):
+    """Suppliers by a header, customers by a value ('BUILDING' as the position
+    word), nations by neither. Counted per table: the number of files varies."""
+    root = _tree(spark, sf_dir)
+    headers = csv_tree.read_headers(csv_tree.scan_csv_tree(spark, root))
+    rows = csv_tree.read_csv_groups(spark, root, headers)
+    types = csv_tree.classify_files(rows, headers, "SEGMENT", ("gk", "building"))
+    typed = csv_tree.add_lineage(rows, types, "batch-1")
+    keeper = F.max(F.col("_PLAYER_TYPE") == "goalkeeper")
+    return typed.groupBy(F.col("_LEAGUE").alias("league"), F.col("_TEAM").alias("team")).agg(
+        F.when(keeper, "goalkeeper").otherwise("outfield").alias("player_type"),
+        F.count(F.lit(1)).alias("loaded"),
+    )
+
+
+@query(
+    "load_stats",
+    """SELECT 'batch-1' AS batch, (SELECT COUNT(*) FROM customer) + (SELECT COUNT(*) FROM supplier)
+        + (SELECT COUNT(*) FROM nation) AS loaded, 0::BIGINT AS with_region
+    UNION ALL SELECT 'batch-2', (SELECT COUNT(*) FROM region), (SELECT COUNT(*) FROM region)""",
+)
+def _load_stats(spark, sf_dir):
+    """Two batches into one bronze table, the second with columns the first lacks;
+    the table is then refreshed in whole and counted per batch."""
+    home = scratch_dir(spark, "bronze")
+    first = csv_tree.ingest_csv_tree(spark, _tree(spark, sf_dir), "batch-1")
+    append_bronze(first, f"{home}/table")
+    root = scratch_dir(spark, "tree")
+    table(spark, sf_dir, "region").write.option("header", "true").csv(f"{root}/geo/region")
+    second = csv_tree.ingest_csv_tree(spark, root, "batch-2")
+    grown = [*first.columns, *missing_columns(second, first.columns)]
+    append_bronze(align_schema(second, grown), f"{home}/table")
+    write_table(read_table(spark, f"{home}/table", evolved=True), f"{home}/refreshed")
+    bronze = read_table(spark, f"{home}/refreshed")
+    stats = csv_tree.load_stats(bronze)
+    filled = bronze.groupBy("_BATCH_ID").agg(F.count("R_NAME").alias("with_region"))
+    return stats.join(filled, "_BATCH_ID").select(F.col("_BATCH_ID").alias("batch"), "loaded", "with_region")

@@ -20,7 +20,7 @@ from touchline import config
 from touchline.functions.jaro import BOOST_ABOVE, PREFIX_MAX, PREFIX_SCALE, similarity_points
 from touchline.functions.text import clean_name, surrogate_key
 from touchline.operators.rows import rank_per_key
-from touchline.session import spread_by
+from touchline.session import materialise, spread_by
 
 BLOCK_LETTERS = 3
 CHUNK_ROWS = 2000
@@ -78,6 +78,7 @@ def best_match(left: DataFrame, right: DataFrame, chunk_rows: int = CHUNK_ROWS)
     0.15 team, 0.10 for the 0/1 flag of equal teams. Ties go to the letter-for-
     letter equal name, then by team and market name.
     """
+    left, right = materialise(left, "names"), materialise(right, "names")
     settled = _exact_hits(left, right)
     open_left = left.join(settled.select(F.col("player_from_players").alias("name")), "name", "left_anti")
     searched = _search_blocks(open_left, right, chunk_rows)
