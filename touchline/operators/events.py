@@ -157,18 +157,18 @@ def replay_offsets(
     gap = F.col(clock) - F.lag(clock).over(inside)
 
     def delay(difference: Column) -> Column:
-        return F.greatest(F.lit(0.0), F.least(difference / F.lit(speed), F.lit(float(cap))))
+        # The first value has no difference; least and greatest would skip a null.
+        seconds = F.coalesce(difference, F.lit(0)) / F.lit(speed)
+        return F.greatest(F.lit(0.0), F.least(seconds, F.lit(float(cap))))
 
-    ticks = ticks.withColumn("_delay", F.coalesce(delay(gap), F.lit(0.0)))
+    ticks = ticks.withColumn("_delay", delay(gap))
     total = F.sum("_delay").over(inside.rowsBetween(Window.unboundedPreceding, 0))
     ticks = ticks.withColumn("_run", total)
     hours = ticks.groupBy(match, "_bucket").agg(
         F.min(clock).alias("_start"), F.max(clock).alias("_end"), F.sum("_delay").alias("_sum")
     )
     across = Window.partitionBy(match).orderBy("_bucket")
-    hours = hours.withColumn(
-        "_enter", F.coalesce(delay(F.col("_start") - F.lag("_end").over(across)), F.lit(0.0))
-    )
+    hours = hours.withColumn("_enter", delay(F.col("_start") - F.lag("_end").over(across)))
     before = F.sum(F.col("_enter") + F.col("_sum")).over(
         across.rowsBetween(Window.unboundedPreceding, 0)
     )
