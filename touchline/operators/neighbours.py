@@ -83,7 +83,6 @@ def similar_all(
         F.coalesce(F.col(position).cast("string"), F.lit("")).alias("role"),
         unit(F.col(vector).cast("array<double>")).alias("vec"),
     ).withColumn("gid", F.md5(F.concat_ws(",", F.col("vec").cast("array<string>"), F.col("role"))))
-    base = materialise(base, "vectors")
     spots = _distinct_spots(base, n)
     lists = _search(spots, n, mismatch, block_rows, base.schema["key"].dataType)
     queries = rank_per_key(

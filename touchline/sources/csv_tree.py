@@ -26,7 +26,7 @@ def scan_csv_tree(spark: SparkSession, root: str) -> DataFrame:
     """file_path, file_name, league, team and length of every CSV below `root`.
 
     League and team are the first two folders of files at least that deep. Only
-    the listing is read, no file content.
+    the listing is read, no file content. Spark lists no file without content.
     """
     files = spark.read.format("binaryFile").options(**_SCAN).load(root)
     below = urlparse(root).path.rstrip("/") + "/"
@@ -74,9 +74,8 @@ def read_headers(files: DataFrame, required: Sequence[str] = ()) -> DataFrame:
     Each task opens its files for one line. Files without a header, or without
     one of the `required` columns, are left out.
     """
-    listed = files.where(F.col("length") > 0)
-    schema = ", ".join(f"{name} {kind}" for name, kind in listed.dtypes)
-    found = listed.mapInPandas(_first_lines, f"{schema}, header array<string>")
+    schema = ", ".join(f"{name} {kind}" for name, kind in files.dtypes)
+    found = files.mapInPandas(_first_lines, f"{schema}, header array<string>")
     found = found.where(F.size("header") > 0).withColumn(
         "columns", F.transform("header", normalise_header)
     )
