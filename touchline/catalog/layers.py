@@ -69,7 +69,8 @@ def _named(relation: str) -> str:
         FROM {relation} WHERE name IS NOT NULL)"""
 
 
-BRIDGE_SQL = f"""SELECT DISTINCT MD5(UPPER(TRIM(player_from_players))) AS canonical_player_key,
+# Spark upper-cases 'ß' to 'SS', as Unicode's full mapping does; DuckDB needs telling.
+BRIDGE_SQL = f"""SELECT DISTINCT MD5(UPPER(REPLACE(TRIM(player_from_players), 'ß', 'ss'))) AS canonical_player_key,
     player_from_players AS canonical_player_name, player_from_market, player_team, market_team,
     name_sim, team_sim
 FROM int_player_name_match

@@ -316,9 +316,9 @@ def _recency_decay(spark, sf_dir):
 
 @query(
     "rates",
-    """SELECT l_partkey, CASE WHEN units = 0 THEN 0 ELSE ROUND(CAST(price / units AS DECIMAL(38,10)), 2)::DOUBLE END AS per_unit,
-        CASE WHEN n = 0 THEN 0 ELSE ROUND(CAST(returned / n * 100 AS DECIMAL(38,10)), 1)::DOUBLE END AS returned_pct,
-        CASE WHEN free = 0 THEN 0 ELSE ROUND(CAST(n / free AS DECIMAL(38,10)), 2)::DOUBLE END AS per_undiscounted,
+    """SELECT l_partkey, CASE WHEN units = 0 THEN 0 ELSE ROUND(CAST(price / units AS DECIMAL(38,15)), 2)::DOUBLE END AS per_unit,
+        CASE WHEN n = 0 THEN 0 ELSE ROUND(CAST(returned / n * 100 AS DECIMAL(38,15)), 1)::DOUBLE END AS returned_pct,
+        CASE WHEN free = 0 THEN 0 ELSE ROUND(CAST(n / free AS DECIMAL(38,15)), 2)::DOUBLE END AS per_undiscounted,
         CAST(GREATEST(2, LEAST(n, 30)) AS BIGINT) AS clamped
     FROM (SELECT l_partkey, SUM(l_quantity) AS units, CAST(SUM(CAST(l_extendedprice AS DECIMAL(18,2))) AS DOUBLE) AS price,
             COUNT(*) AS n, COUNT(*) FILTER (l_returnflag = 'R') AS returned, COUNT(*) FILTER (l_discount = 0) AS free
