@@ -9,8 +9,10 @@ import pytest
 ROOT = Path(__file__).resolve().parents[1]
 sys.path.insert(0, str(ROOT))
 import __spark_entry__ as entry  # noqa: E402
+from touchline import catalog  # noqa: E402
 from tools.check import TABLES, compare  # noqa: E402
 
+catalog.load_all()
 DATA = Path("/root/testdata/sf0.001")
 
 
@@ -23,11 +25,12 @@ def con():
 
 
 @pytest.mark.skipif(not DATA.exists(), reason="no test tables")
-@pytest.mark.parametrize("name", list(entry.queries()))
+@pytest.mark.parametrize("name", list(catalog.QUERIES))
 def test_query(spark, con, name):
     outcome = compare(spark, con, str(DATA), name)
     assert outcome.startswith("ok") and "TYPES" not in outcome, outcome
 
 
 def test_every_query_has_sql():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(catalog.QUERIES) == set(catalog.ORACLES)
+    assert set(catalog.QUERIES) <= set(entry.queries())
