@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -36,3 +36,56 @@ def token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_dir(spark, "token-ids")
     write_token_ids(table(spark, sf_dir, "documents"), path, vocabulary("byte_bpe_50k.json"))
     return digests(read_token_ids(spark, path))
+
+
+OP2_SQL = r"""
+WITH raw AS (
+  SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda w: w <> '') AS w
+  FROM documents),
+items AS (
+  SELECT item_id, list_filter(string_split_regex(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda w: w <> '') AS w
+  FROM benchmark),
+windows AS (
+  SELECT DISTINCT cast(item_id AS VARCHAR) AS item, least(len(w), 10) AS n, array_to_string(w[i:i + 9], ' ') AS win
+  FROM items, unnest(range(1, greatest(len(w) - 9, 1) + 1)) t(i) WHERE len(w) > 0),
+lengths AS (SELECT DISTINCT n FROM windows),
+grams AS (
+  SELECT doc_id, i, n, array_to_string(w[i:i + n - 1], ' ') AS win
+  FROM raw, unnest(range(1, len(w) + 1)) t(i), lengths WHERE i + n - 1 <= len(w)),
+hits AS (SELECT g.doc_id, g.i, g.n, w.item FROM grams g JOIN windows w USING (win, n)),
+hit_words AS (
+  SELECT doc_id, count(DISTINCT p) AS n_hit
+  FROM (SELECT doc_id, unnest(range(i, i + n)) AS p FROM (SELECT DISTINCT doc_id, i, n FROM hits)) GROUP BY 1),
+hit_items AS (
+  SELECT doc_id, count(DISTINCT item) AS n_items, string_agg(DISTINCT item, ',' ORDER BY item) AS ids FROM hits GROUP BY 1)
+SELECT r.doc_id, cast(len(r.w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+  sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM raw r LEFT JOIN hit_words USING (doc_id) LEFT JOIN hit_items USING (doc_id)
+"""
+
+
+@query("op2_decontamination", OP2_SQL)
+def decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from touchline.llm.decontamination import decontaminate
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = decontaminate(docs, table(spark, sf_dir, "benchmark"))
+    ids = F.sha2(F.array_join("item_ids", ",").cast("binary"), 256)
+    return found.select("doc_id", "n_words", "n_hit", "n_items", ids.alias("items_sha256"), "contaminated")
+
+
+@query("op7_packing")
+def packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from touchline.llm.packing import pack_documents
+
+    return pack_documents(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"))
+
+
+@query("op6_simhash")
+def simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from touchline.llm.simhash import hex_digits, near_duplicates
+
+    found = near_duplicates(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", hex_digits(F.col("fp")).alias("fingerprint"), "component_id")
