@@ -8,8 +8,8 @@ from touchline.llm.common import materialise
 
 
 def connected_components(edges: DataFrame) -> DataFrame:
-    """(node, component) for every node of `edges` (a, b: long); the component is its
-    smallest node. Nulls and loops are no edges.
+    """(node, component) for every node of `edges` (a, b); the component is its
+    smallest node. Nulls and loops are no edges. Nodes may also be text.
 
     Each round links every node's larger neighbours, and then its smaller ones, to the
     smallest node it sees. A node sends one row per neighbour at most, so a component

@@ -89,3 +89,70 @@ def simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     found = near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", hex_digits(F.col("fp")).alias("fingerprint"), "component_id")
+
+
+OP4_SQL = r"""
+WITH p AS (
+  SELECT page_id, coalesce(html, '') AS html,
+    translate(regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)', 1),
+      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+    regexp_extract(coalesce(url, ''), '(?s)^.*?://[^/?#]*([^?#]*)', 1) AS path,
+    list_filter(string_split(regexp_extract(coalesce(url, ''), '(?s)^.*?://[^?#]*\?([^#]*)', 1), '&'),
+      lambda x: x <> '' AND NOT regexp_matches(x, '^(?:utm_[^=]*|ref|gclid|fbclid)(?:=|$)')) AS query
+  FROM pages),
+n AS (
+  SELECT *, CASE WHEN host <> '' THEN
+    regexp_replace(regexp_replace(host, ':(80|443)$', ''), '^(www|m)\.([^.]+\.)', '\2') || regexp_replace(path, '/+$', '')
+    || CASE WHEN len(query) > 0 THEN '?' || array_to_string(query, '&') ELSE '' END END AS address
+  FROM p),
+rules(verdict, h, q) AS (VALUES ('allow', 'org', '/'), ('block', 'example.org', '/es/'),
+  ('block', 'example.org', '/en/1'), ('allow', 'com', '/fr/'), ('block', 'com', '/de/')),
+own AS (
+  SELECT page_id, arg_max(h || q, length(h || q)) AS rule, arg_max(r.verdict, length(h || q)) AS verdict
+  FROM n JOIN rules r ON (host = h OR ends_with(host, '.' || h)) AND starts_with(path, q) GROUP BY page_id),
+classes AS (
+  SELECT address FROM n LEFT JOIN own USING (page_id) WHERE address IS NOT NULL
+  GROUP BY 1 HAVING bool_or(verdict = 'block') AND NOT bool_or(verdict = 'allow'))
+SELECT page_id, host, path, rule,
+  coalesce(verdict, CASE WHEN address IN (SELECT address FROM classes) THEN 'block' ELSE 'allow' END) AS verdict
+FROM n LEFT JOIN own USING (page_id)
+"""
+
+
+@query("op4_url_filter", OP4_SQL)
+def url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from touchline.llm.url_filter import Rule, judge_urls
+
+    rules = [
+        Rule("allow", "org", "/"), Rule("block", "example.org", "/es/"), Rule("block", "example.org", "/en/1"),
+        Rule("allow", "com", "/fr/"), Rule("block", "com", "/de/"),
+    ]
+    found = judge_urls(table(spark, sf_dir, "pages"), rules)
+    return found.select("page_id", "host", "path", "rule", "verdict")
+
+
+@query("op5_sharding")
+def sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from touchline.llm.sharding import shard
+
+    found = shard(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    crc = F.crc32(F.coalesce(F.col("text"), F.lit("")).cast("binary"))
+    return found.select(
+        "doc_id", "size", crc.alias("text_crc32"), F.lit("bytes").alias("law"), "shard", "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
+@query("op10_pii")
+def pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from touchline.llm.pii import KINDS, count_of, find_personal_data, listed
+
+    found = find_personal_data(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    base = [k.name for k in KINDS if k.base]
+    spans = F.filter("pii", lambda s: s["kind"].isin(base))
+    return found.select(
+        "doc_id",
+        *[count_of(F.col("pii"), k).alias(f"n_{k}") for k in base],
+        F.sha2(listed(spans).cast("binary"), 256).alias("base_sha256"),
+        listed(F.col("pii")).alias("spans"),
+    )
