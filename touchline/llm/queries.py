@@ -156,3 +156,11 @@ def pii(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(listed(spans).cast("binary"), 256).alias("base_sha256"),
         listed(F.col("pii")).alias("spans"),
     )
+
+
+@query("op9_quality")
+def quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from touchline.llm.quality import classify
+
+    found = classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return found.select("doc_id", "held_out", "score", "predicted")
