@@ -164,3 +164,10 @@ def quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     found = classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
     return found.select("doc_id", "held_out", "score", "predicted")
+
+
+@query("op8_fingerprints")
+def fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from touchline.llm.digest import compare_with_edits
+
+    return compare_with_edits(table(spark, sf_dir, "documents"))
