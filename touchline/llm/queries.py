@@ -171,3 +171,15 @@ def fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     from touchline.llm.digest import compare_with_edits
 
     return compare_with_edits(table(spark, sf_dir, "documents"))
+
+
+@query("op3_repeats")
+def repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from touchline.llm.repeats import remove_repeats
+
+    found = remove_repeats(table(spark, sf_dir, "documents"))
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
+    return found.select(
+        "doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
