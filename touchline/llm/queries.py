@@ -88,7 +88,7 @@ def simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     from touchline.llm.simhash import hex_digits, near_duplicates
 
     found = near_duplicates(table(spark, sf_dir, "documents"))
-    return found.select("doc_id", hex_digits(F.col("fp")).alias("fingerprint"), "component_id")
+    return found.select("doc_id", hex_digits(F.col("fp0")).alias("fingerprint"), "component_id")
 
 
 OP4_SQL = r"""

@@ -6,6 +6,9 @@ fingerprints, so a link of at most r bits moves at most r segments. With the seg
 in b blocks, b - r blocks or more are at distance nothing: cells of the grid are the
 values of b - r blocks, and every link meets in one of the C(b, r) grids. In a cell the
 fingerprints themselves are compared, and of its links only a spanning forest goes on.
+
+A fingerprint may have further words of 64 bits from other seeds. Each word then has
+grids of its own, and the bits of all words are compared.
 """
 
 from __future__ import annotations
@@ -18,11 +21,15 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
-from touchline.llm.common import each_batch, materialise
+from touchline.llm.common import each_batch, materialise, row_key
 from touchline.llm.components import connected_components
 
 SEED = 42
 SEGMENTS = 32
+#: Chance that two random segments have one count, as a power of a half.
+SEGMENT_BITS = 1.415
+#: Members that a cell may hold on average.
+MATES = 1000
 #: Members of a cell that meet in one task. Larger cells are dealt out in pairs of chunks.
 CHUNK = 20_000
 BUFFER = 200_000
@@ -31,20 +38,25 @@ SMALL = 512
 FOLD = bytes(32 if c in (9, 10, 11, 12, 13) else c + 32 if 65 <= c <= 90 else c for c in range(256))
 
 
-def fingerprint(text: bytes | None, shingle: int) -> int:
-    """64 majority bits over the XXH64 of all shingles, as a signed number."""
-    words = text.translate(FOLD).split() if text else []
-    if not words:
-        return 0
-    line = b" ".join(words)
-    digest = xxhash.xxh64_intdigest
-    if len(words) <= shingle:
-        hashes = np.array([digest(line, SEED)], np.uint64)
+def fingerprint(text: bytes | None, shingle: int, words: int = 1) -> tuple[int, ...]:
+    """64 majority bits over the XXH64 of all shingles, as a signed number, for each of
+    as many seeds as `words`."""
+    found = text.translate(FOLD).split() if text else []
+    if not found:
+        return (0,) * words
+    line = b" ".join(found)
+    if len(found) <= shingle:
+        shingles = [line]
     else:
-        lengths = np.fromiter(map(len, words), np.int64, len(words))
+        lengths = np.fromiter(map(len, found), np.int64, len(found))
         ends = np.cumsum(lengths + 1) - 1
-        starts = (ends - lengths)[: len(words) - shingle + 1].tolist()
-        hashes = np.array([digest(line[a:b], SEED) for a, b in zip(starts, ends[shingle - 1 :].tolist())], np.uint64)
+        starts = (ends - lengths)[: len(found) - shingle + 1].tolist()
+        shingles = [line[a:b] for a, b in zip(starts, ends[shingle - 1 :].tolist())]
+    digest = xxhash.xxh64_intdigest
+    return tuple(_majority(np.array([digest(s, SEED + w) for s in shingles], np.uint64)) for w in range(words))
+
+
+def _majority(hashes: np.ndarray) -> int:
     ones = np.zeros(64, np.int64)
     for at in range(0, len(hashes), 30_000):
         bits = np.unpackbits(hashes[at : at + 30_000].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
@@ -52,16 +64,21 @@ def fingerprint(text: bytes | None, shingle: int) -> int:
     return int(np.packbits(ones * 2 > len(hashes), bitorder="little").view("<i8")[0])
 
 
-def fingerprints(docs: DataFrame, shingle: int = 4) -> DataFrame:
-    """(doc_id, fp) for every row, over its whole text."""
+def fingerprints(docs: DataFrame, shingle: int = 4, words: int = 1) -> DataFrame:
+    """(doc_id, row, fp0, fp1, ...) for every row, over its whole text; `row` is the key
+    of the text (see common.row_key)."""
+    names = [f"fp{w}" for w in range(words)]
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         texts = batch.column("text").cast(pa.binary()).to_pylist()
-        fp = pa.array([fingerprint(t, shingle) for t in texts], pa.int64())
-        return pa.RecordBatch.from_arrays([batch.column("doc_id"), fp], ["doc_id", "fp"])
+        found = np.array([fingerprint(t, shingle, words) for t in texts], np.int64)
+        columns = [batch.column("doc_id"), batch.column("row"), *[pa.array(found[:, w].copy()) for w in range(words)]]
+        return pa.RecordBatch.from_arrays(columns, ["doc_id", "row", *names])
 
-    plain = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return plain.mapInArrow(each_batch(run), "doc_id long, fp long")
+    plain = docs.select(
+        F.col("doc_id").cast("long").alias("doc_id"), row_key().alias("row"), F.col("text").cast("string").alias("text")
+    )
+    return plain.mapInArrow(each_batch(run), "doc_id long, row long, " + ", ".join(f"{n} long" for n in names))
 
 
 def embedding(fp: Column) -> Column:
@@ -71,6 +88,15 @@ def embedding(fp: Column) -> Column:
     return high.bitwiseXOR(low).bitwiseOR(F.shiftleft(high.bitwiseAND(low), 1))
 
 
+def blocks_for(points: int, reach: int) -> int:
+    """Blocks with which a cell of so many random points has about `MATES` members; any
+    number over `reach` gives the same links."""
+    for blocks in range(reach + 1, reach + 5):
+        if points * 0.5 ** (SEGMENT_BITS * SEGMENTS * (blocks - reach) / blocks) <= MATES:
+            break
+    return blocks
+
+
 def grids(blocks: int, reach: int) -> list[int]:
     """Masks over the embedding, one for each choice of blocks that may not differ."""
     cuts = [round(i * SEGMENTS / blocks) for i in range(blocks + 1)]
@@ -82,38 +108,41 @@ def _signed(x: int) -> int:
     return x - (1 << 64) if x >> 63 else x
 
 
-def _forest(fp: np.ndarray, reach: int) -> list[tuple[int, int]]:
-    """Links that join all of `fp` that are joined at all; each member is reached once."""
+def _forest(points: np.ndarray, most: int) -> list[tuple[int, int]]:
+    """Links, as positions in `points`, that join all that are joined at all; each
+    member is reached once."""
     links: list[tuple[int, int]] = []
-    rest = fp
+    rest = np.arange(len(points))
     while len(rest):
         front, rest = [rest[0]], rest[1:]
         while front and len(rest):
             at = front.pop()
-            near = np.bitwise_count(rest ^ at) <= reach
+            near = np.bitwise_count(points[rest] ^ points[at]).sum(axis=1) <= most
             if near.any():
-                found = rest[near]
+                links += [(int(at), int(x)) for x in rest[near]]
+                front += list(rest[near])
                 rest = rest[~near]
-                links += [(int(at), int(x)) for x in found]
-                front += list(found)
     return links
 
 
-def _meet(reach: int):
+def _meet(words: int, most: int):
     """Links within each cell; rows come sorted by cell."""
+    names = [f"fp{w}" for w in range(words)]
 
-    def links(cell: np.ndarray, fp: np.ndarray) -> np.ndarray:
+    def links(cell: np.ndarray, points: np.ndarray) -> np.ndarray:
         starts = np.flatnonzero(np.r_[True, cell[1:] != cell[:-1]])
         counts = np.diff(np.r_[starts, len(cell)])
         group = np.repeat(np.arange(len(starts)), counts)
         size = counts[group]
-        bits = fp.view(np.uint64)
         found_a, found_b = [], []
         small = np.flatnonzero((size > 1) & (size <= SMALL))
         for step in range(1, int(size[small].max(initial=1))):
             small = small[small + step < len(cell)]
             small = small[group[small] == group[small + step]]
-            near = np.bitwise_count(bits[small] ^ bits[small + step]) <= reach
+            apart = np.bitwise_count(points[small, 0] ^ points[small + step, 0])
+            for w in range(1, words):
+                apart = apart + np.bitwise_count(points[small, w] ^ points[small + step, w])
+            near = apart <= most
             found_a.append(small[near])
             found_b.append(small[near] + step)
         a = np.concatenate(found_a) if found_a else np.zeros(0, np.int64)
@@ -121,102 +150,131 @@ def _meet(reach: int):
         # Cells with more links than members, and large cells, give a forest instead.
         many = np.bincount(group[a], minlength=len(starts)) > counts
         keep = ~many[group[a]]
-        out = [np.stack([fp[a[keep]], fp[b[keep]]], axis=1)]
+        out = [np.stack([a[keep], b[keep]], axis=1)]
         for g in np.flatnonzero(many | (counts > SMALL)):
-            own = bits[starts[g] : starts[g] + counts[g]]
-            forest = np.array(_forest(own, reach), np.uint64).reshape(-1, 2)
-            out.append(forest.view(np.int64))
+            own = points[starts[g] : starts[g] + counts[g]]
+            out.append(np.array(_forest(own, most), np.int64).reshape(-1, 2) + starts[g])
         return np.concatenate(out)
 
-    def batch_of(cell: np.ndarray, fp: np.ndarray) -> pa.RecordBatch:
-        found = links(cell, fp)
-        return pa.RecordBatch.from_arrays([pa.array(found[:, 0].copy()), pa.array(found[:, 1].copy())], ["a", "b"])
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
         rows = 0
-        columns = None
 
-        def take():
+        def solve(last: bool) -> pa.RecordBatch | None:
+            nonlocal held, rows
             whole = pa.Table.from_batches(held)
-            keys = [whole.column(c).to_numpy() for c in ("grid", "cell", "low", "high")]
-            change = np.zeros(len(keys[0]), bool)
-            for k in keys:
-                change[1:] |= k[1:] != k[:-1]
-            return np.cumsum(change), whole.column("fp").to_numpy(), whole
-
+            change = np.zeros(rows, bool)
+            for name in ("grid", "cell", "low", "high"):
+                key = whole.column(name).to_numpy()
+                change[1:] |= key[1:] != key[:-1]
+            cell = np.cumsum(change)
+            end = rows if last else int(np.searchsorted(cell, cell[-1]))  # the last cell may go on
+            points = np.stack([whole.column(n).to_numpy()[:end] for n in names], axis=1).view(np.uint64)
+            held, rows = whole.slice(end).to_batches(), rows - end
+            if not end:
+                return None
+            found = links(cell[:end], points)
+            sides = [points[found[:, side], w].view(np.int64) for side in (0, 1) for w in range(words)]
+            return pa.RecordBatch.from_arrays([pa.array(x) for x in sides], [f"{s}{w}" for s in "ab" for w in range(words)])
+
+        wait = BUFFER
         for batch in batches:
             held.append(batch)
             rows += batch.num_rows
-            columns = batch.schema
-            if rows >= BUFFER:
-                cell, fp, whole = take()
-                last = int(np.searchsorted(cell, cell[-1]))  # the last cell may go on
-                if last:
-                    yield batch_of(cell[:last], fp[:last])
-                    held = whole.slice(last).to_batches()
-                    rows -= last
-        if rows and columns is not None:
-            cell, fp, _ = take()
-            yield batch_of(cell, fp)
+            if rows >= wait:
+                found = solve(last=False)
+                if found is not None:
+                    yield found
+                wait = rows + BUFFER
+        if rows:
+            yield solve(last=True)
 
     return run
 
 
-def linked(distinct: DataFrame, reach: int, blocks: int) -> DataFrame:
-    """Links (a, b) between different fingerprints `fp` at `reach` or fewer bits, as far
-    as they are needed to join all that are joined."""
-    packed = embedding(F.col("fp"))
-    cells = distinct.select(
-        "fp",
-        F.explode(
-            F.array(
-                *[
-                    F.struct(F.lit(k).alias("grid"), packed.bitwiseAND(F.lit(_signed(mask))).alias("cell"))
-                    for k, mask in enumerate(grids(blocks, reach))
-                ]
-            )
-        ).alias("at"),
-    ).select("fp", "at.grid", "at.cell")
+def linked(distinct: DataFrame, words: int, reach: int, most: int, blocks: int) -> DataFrame:
+    """Links (a0, .., b0, ..) between different fingerprints `fp0`, .. at `most` or fewer
+    bits that differ by `reach` or fewer in one word, as far as they are needed to join
+    all that are joined."""
+    names = [f"fp{w}" for w in range(words)]
+    masks = grids(blocks, reach)
+    places = [
+        F.struct(F.lit(w * len(masks) + k).alias("grid"), F.col(f"packed{w}").bitwiseAND(F.lit(_signed(mask))).alias("cell"))
+        for w in range(words)
+        for k, mask in enumerate(masks)
+    ]
+    packed = distinct.select(*names, *[embedding(F.col(n)).alias(f"packed{w}") for w, n in enumerate(names)])
+    cells = packed.select(*names, F.explode(F.array(*places)).alias("at")).select(*names, "at.grid", "at.cell")
     large = (
         cells.groupBy("grid", "cell").count().where(F.col("count") > CHUNK)
         .select("grid", "cell", F.ceil(F.col("count") / CHUNK).cast("int").alias("chunks"))
-    )
-    chunks = F.coalesce("chunks", F.lit(1))
-    own = F.pmod(F.xxhash64("fp"), F.col("k")).cast("int")
+    )
+    own = F.pmod(F.xxhash64(*names), F.col("k")).cast("int")
     dealt = (
         cells.join(large, ["grid", "cell"], "left")
-        .select("fp", "grid", "cell", chunks.alias("k"))
+        .select(*names, "grid", "cell", F.coalesce("chunks", F.lit(1)).alias("k"))
         .withColumn("own", own)
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("k") - 1)))
-        .select("grid", "cell", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), "fp")
+        .select("grid", "cell", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), *names)
     )
     keys = ["grid", "cell", "low", "high"]
     sorted_cells = dealt.repartition(*keys).sortWithinPartitions(*keys)
-    return sorted_cells.mapInArrow(_meet(reach), "a long, b long").distinct()
+    ends = [f"{s}{w}" for s in "ab" for w in range(words)]
+    return sorted_cells.mapInArrow(_meet(words, most), ", ".join(f"{e} long" for e in ends)).distinct()
 
 
-def near_duplicates(docs: DataFrame, shingle: int = 4, reach: int = 4, blocks: int = 6) -> DataFrame:
-    """(doc_id, fp, component_id) for every row of `docs` (doc_id, text).
+def near_duplicates(
+    docs: DataFrame, shingle: int = 4, reach: int = 4, words: int = 1, most: int | None = None, blocks: int | None = None
+) -> DataFrame:
+    """(doc_id, row, fp0, .., group, component_id) for every row of `docs` (doc_id, text).
 
-    Fingerprints at `reach` or fewer differing bits are linked; `component_id` is the
-    smallest doc_id that links reach, the row's own included. Rows with one fingerprint
-    are one point, so copies never meet one by one. Every link counts; `blocks` sets how
-    fine the grid is: more blocks make more grids with smaller cells, and the result is
-    the same (6 suits some ten million different fingerprints, 7 a billion).
+    Fingerprints are linked at `most` or fewer differing bits, if `reach` or fewer of
+    them lie in one word (one word: `most` is `reach`); `component_id` is the smallest
+    doc_id that links reach, the row's own included. Rows with one fingerprint are one
+    point, so copies never meet one by one. Every link counts; `blocks` sets how fine
+    the grids are and not what they find.
 
     Null and empty texts have fingerprint 0 and are linked like any other. A null doc_id
     keeps its row and counts in no minimum; a component of nulls alone has a null id.
     Other columns are not read; an empty table gives no rows.
     """
-    rows = materialise(fingerprints(docs, shingle), "fingerprints")
-    distinct = materialise(rows.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "distinct")
-    found = connected_components(linked(distinct, reach, blocks))
-    member = found.join(distinct, found["node"] == distinct["fp"]).select("fp", "component", "first_id")
+    names = [f"fp{w}" for w in range(words)]
+    rows = materialise(fingerprints(docs, shingle, words), "fingerprints")
+    distinct = rows.groupBy(*names).agg(F.min("doc_id").alias("first_id")).withColumn("node", _node("fp", words))
+    distinct = materialise(distinct, "distinct")
+    blocks = blocks or blocks_for(distinct.count(), reach)
+    links = linked(distinct, words, reach, reach if most is None else most, blocks)
+    found = connected_components(links.select(_node("a", words).alias("a"), _node("b", words).alias("b")))
+    member = found.join(distinct, "node").select("node", "component", "first_id")
     least = member.groupBy("component").agg(F.min("first_id").alias("least_id"))
-    named = member.join(least, "component").select("fp", "least_id")
-    ids = distinct.join(named, "fp", "left").select("fp", F.coalesce("least_id", "first_id").alias("component_id"))
-    return rows.join(ids, "fp").select("doc_id", "fp", "component_id")
+    named = member.join(least, "component").select("node", "component", "least_id")
+    ids = distinct.join(named, "node", "left").select(
+        *names, F.coalesce("component", "node").alias("group"), F.coalesce("least_id", "first_id").alias("component_id")
+    )
+    return rows.join(ids, names).select("doc_id", "row", *names, "group", "component_id")
+
+
+def first_of_groups(docs: DataFrame, **settings) -> DataFrame:
+    """The rows of `docs`, all columns, of which none is linked to a smaller doc_id: one
+    row of each group of near-duplicates (see near_duplicates for the settings). Of
+    rows alike one stays; a null doc_id stays only in a group of nulls alone."""
+    found = near_duplicates(docs, **settings)
+    least = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row")).alias("first")
+    none = F.lit(-(1 << 63))
+    chosen = found.groupBy("group").agg(least).select(
+        F.coalesce("first.doc_id", none).alias("_key_id"), F.col("first.row").alias("_key_row")
+    )
+    keys = ["_key_id", "_key_row"]
+    rows = docs.select(
+        *[f"`{c}`" for c in docs.columns], F.coalesce(F.col("doc_id").cast("long"), none).alias(keys[0]), row_key().alias(keys[1])
+    )
+    return rows.join(chosen, keys).dropDuplicates(keys).select(*[f"`{c}`" for c in docs.columns])
+
+
+def _node(prefix: str, words: int) -> Column:
+    """A fingerprint as one value that can be ordered."""
+    first = F.col(f"{prefix}0")
+    return first if words == 1 else F.concat(*[hex_digits(F.col(f"{prefix}{w}")) for w in range(words)])
 
 
 def hex_digits(fp: Column) -> Column:
