@@ -38,12 +38,84 @@ def test_csv_tree(spark, tmp_path):
         ("UNKNOWN_TEAM", "Top", "2021", None, "outfield"),
     }
     stats = csv_tree.load_stats(bronze, files).first()
-    assert (stats["processed"], stats["loaded"], stats["skipped"]) == (4, 5, 2)
+    # Loading nothing: no bytes, a header alone, a required column missing.
+    assert (stats["processed"], stats["loaded"], stats["skipped"]) == (4, 5, 3)
+    why = csv_tree.check_headers(spark, str(root), files, required=("SEASON",)).where("problem is not null")
+    assert {(r["file_name"], r["problem"]) for r in why.collect()} == {("empty.csv", "empty"), ("values.csv", "no column SEASON")}
     table = str(tmp_path / "bronze")
     append_bronze(bronze.select("PLAYER_NAME", "SEASON"), table)
     append_bronze(align_schema(bronze.select("SEASON", "SAVES"), ["PLAYER_NAME", "SEASON"]), table)
     grown = read_table(spark, table, evolved=True)
     assert set(grown.columns) == {"PLAYER_NAME", "SEASON", "SAVES"} and grown.count() == 10
+    lower = align_schema(bronze.select(F.col("SEASON").alias("season"), F.lit("x").alias("other")), ["SEASON", "SAVES"])
+    assert lower.columns == ["SEASON", "SAVES", "other"]
+
+
+def test_csv_headers_and_cells_are_whole(spark, tmp_path):
+    long = ",".join(f"column with a rather long name {i:05d}" for i in range(2000))
+    _write(tmp_path / "r/a/b/long.csv", f"{long}\n{','.join(map(str, range(2000)))}\n")
+    _write(tmp_path / "r/a/b/broken.csv", '"two\nlines","x ""y"" "\n"a\nb","\t c \t"\nnan, nan \n')
+    rows = csv_tree.ingest_csv_tree(spark, str(tmp_path / "r"), "b").collect()
+    assert len(rows) == 3
+    wide = next(r for r in rows if r["COLUMN_WITH_A_RATHER_LONG_NAME_01999"] is not None)
+    assert [wide[f"COLUMN_WITH_A_RATHER_LONG_NAME_{i:05d}"] for i in (0, 1490, 1999)] == ["0", "1490", "1999"]
+    assert {(r["TWO_LINES"], r["X_Y"]) for r in rows if r is not wide} == {("a\nb", "c"), (None, None)}
+
+
+def test_a_file_that_cannot_be_read_ends_the_load(spark, tmp_path):
+    _write(tmp_path / "r/a/b/one.csv", "x\n1\n")
+    headers = csv_tree.read_headers(spark, str(tmp_path / "r"), csv_tree.scan_csv_tree(spark, str(tmp_path / "r")))
+    assert "ignoreCorruptFiles" not in open(csv_tree.__file__).read() and headers.count() == 1
+
+
+def test_scratch_folder(spark):
+    import pytest
+
+    from touchline import session
+
+    class Conf(dict):
+        pass
+
+    class Context:
+        master, applicationId = "local[2]", "app-1"
+
+    class Plain:
+        conf, sparkContext = Conf(), Context()
+
+    assert session.scratch_dir(Plain, "x").startswith(session._LOCAL["app-1"]) and not Plain.conf
+    Plain.conf["spark.checkpoint.dir"] = "hdfs://shared/c/"
+    assert session.scratch_dir(Plain, "x").startswith("hdfs://shared/c/touchline/x-")
+    Plain.conf[session.SCRATCH] = "s3a://other"
+    assert session.scratch_dir(Plain, "x").startswith("s3a://other/touchline/x-")
+    Plain.conf.clear()
+    for master in ("yarn", "spark://host:7077", "local-cluster[2,1,1024]"):
+        Context.master = master
+        with pytest.raises(ValueError):
+            session.scratch_dir(Plain, "x")
+
+
+def test_recommendations_where_a_key_stands_for_two_names(spark):
+    from touchline.operators.neighbours import similar_all
+    from touchline.plans import recommend
+
+    features = ["f1", "f2"]
+    people = [("k1", "Ann", 1.0, 0.2), ("k1", "ann ", 0.9, 0.3), ("k2", "Bob", 0.1, 1.0), ("k3", "Cy", 0.5, 0.5), ("k3", "Cy", 0.5, 0.5), ("k4", "Di", 0.8, 0.1)]
+    mart = spark.createDataFrame(
+        [(k, n, "Club", "FW", 20, 1.0, 90.0, a, b) for k, n, a, b in people],
+        "player_key string, player_name string, club_name string, primary_position string, age int, "
+        "market_value_eur double, minutes_played double, f1 double, f2 double",
+    )
+    stats = recommend.build_models({"OUT": (mart, features)})["OUT"]
+    rows = recommend.recommend({"OUT": (mart.dropDuplicates(), stats, features)}, 5).collect()
+    by_target = {}
+    for r in rows:
+        by_target.setdefault((r["target_player_key"], r["target_player_name"]), []).append(r)
+    assert all(len(v) <= 5 and len({(r["predicted_player_key"], r["predicted_player_name"]) for r in v}) == len(v) for v in by_target.values())
+    top = similar_all(recommend.scored_pool(mart, stats, features))
+    scores = {(r["name_key"], r["match_key"], r["match_name"]): r["similarity_score"] for r in top.collect()}
+    for r in rows:
+        key = (r["target_player_name"].lower(), r["predicted_player_key"], r["predicted_player_name"])
+        assert r["similarity_score"] == scores[key]
 
 
 def _bronze(spark):
@@ -101,30 +173,38 @@ def test_layers_to_recommendations(spark, tmp_path):
     assert {len(by_target[n]) for n in ("Al Keep", "Di Keep")} == {1}
 
 
-def test_stream_dedup_restart_and_late_repeat(spark, tmp_path):
-    schema = "id long, event_timestamp timestamp, minute int, second float, match_url string"
+def test_stream_keeps_late_events_and_no_repeats(spark, tmp_path):
+    schema = "id long, event_timestamp timestamp, minute int, second float, match_url string, day date"
     src, out, ck = (str(tmp_path / p) for p in ("src", "out", "ck"))
+    seen = []
 
     def feed(*ids):
         rows = spark.createDataFrame([(i,) for i in ids], "id long")
-        rows = rows.select("id", F.timestamp_seconds(F.col("id") + 1_700_000_000).alias("event_timestamp"),
+        rows = rows.select("id", F.timestamp_seconds(F.col("id") * 60 + 1_700_000_000).alias("event_timestamp"),
                            F.lit(1).alias("minute"), F.lit(2.0).cast("float").alias("second"), F.lit("u").alias("match_url"))
-        rows.coalesce(1).write.mode("append").json(src)
+        rows.withColumn("day", F.to_date("event_timestamp")).coalesce(1).write.mode("append").json(src)
 
     def drain():
         stream = live.event_source(spark, "json", {"maxFilesPerTrigger": "1"}, schema, src)
-        unique = live.dedup_stream(stream, within="1 second")
-        query = live.event_sink(unique, ck, live.run_mode(False), live.insert_ignore(out, layout=("match_url", "minute")))
+        then = lambda new, k: seen.extend(r["id"] for r in new.collect())
+        sink = live.insert_ignore(out, layout=("match_url", "minute"), by=("day",), then=then)
+        query = live.event_sink(stream, ck, live.run_mode(False), sink)
         query.awaitTermination()
         return live.progress(query)
 
     feed(1, 2, 2)
     assert drain()["rows"] == 3
-    feed(2, 3, 5000)
+    feed(100, 2)
     drain()
-    feed(1, 5000, 5001)  # 1 comes back long after its state is gone
+    feed(50, 101)  # 50 is seen for the first time long after later ones
+    feed(1, 50, 9000)
     drain()
-    assert sorted(r["id"] for r in read_table(spark, out).collect()) == [1, 2, 3, 5000, 5001]
+    want = [1, 2, 50, 100, 101, 9000]
+    assert sorted(r["id"] for r in read_table(spark, out).collect()) == sorted(seen) == want
+    # A batch that is run again after a failure replaces what it wrote.
+    again = spark.read.schema(schema).parquet(out).where("batch = 1").drop("batch")
+    live.insert_ignore(out, by=("day",))(spark.createDataFrame(again.collect(), schema), 1)
+    assert sorted(r["id"] for r in read_table(spark, out).collect()) == want
 
 
 def test_stream_stops_when_match_is_over(spark, tmp_path):
@@ -143,5 +223,8 @@ def test_messages_round_trip(spark):
     )
     packed = live.encode_events(rows)
     assert {r["key"] for r in packed.collect()} == {"0", "1", "2"}
+    assert next(r["value"] for r in packed.collect() if r["key"] == "1") == '{"id":1,"x":null,"is_goal":true}'
+    topics = live.encode_events(rows.withColumn("topic", F.lit("t"))).collect()
+    assert {(r["topic"], "topic" in r["value"]) for r in topics} == {("t", False)}
     back = {r["id"]: (r["x"], r["is_goal"]) for r in live.decode_events(packed).collect()}
     assert back == {0: (1.5, True), 1: (None, True), 2: (1.5, True)}

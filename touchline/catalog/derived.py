@@ -77,7 +77,7 @@ def _players() -> str:
     CASE WHEN l_linenumber = 5 THEN '2028' ELSE MONTH_YEAR(l_shipdate) END AS contract_expiry,
     CASE WHEN l_linenumber = 4 THEN {weekly}
         ELSE '£ ' || {weekly} || ' (€ ' || {weekly} || ', $' || CAST(p_size AS STRING) || ')' END AS weekly_salary,
-    CASE WHEN l_linenumber = 3 THEN '€ ' || {weekly} ELSE '£' || {weekly} END AS annual_salary,
+    CASE WHEN l_linenumber = 3 THEN '€ ' || {weekly} WHEN l_linenumber = 4 THEN '£ 3,000,000,000' ELSE '£' || {weekly} END AS annual_salary,
     {", ".join(stats)}
 FROM {{lineitem}} JOIN {{part}} ON l_partkey = p_partkey
     JOIN {{supplier}} ON l_suppkey = s_suppkey JOIN {{nation}} ON s_nationkey = n_nationkey"""

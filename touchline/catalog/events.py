@@ -20,7 +20,7 @@ FEED = """SELECT event_id AS id, user_id AS playerId, event_type AS type,
     event_type IN ('purchase', 'click') AS isShot,
     CASE WHEN event_type = 'error' THEN 'yellow' END AS cardType,
     CASE WHEN event_id % 17 = 3 THEN 'off' ELSE CAST(FLOOR(value) AS STRING) END AS x,
-    CASE WHEN event_id % 13 = 3 THEN NULL ELSE CAST(event_id % 95 AS STRING) END AS minute,
+    CASE WHEN event_id % 13 = 3 THEN NULL WHEN event_id % 13 = 4 THEN '1e12' ELSE CAST(event_id % 95 AS STRING) END AS minute,
     CASE WHEN event_id % 19 = 3 THEN 'late' ELSE CAST(event_id % 60 AS STRING) END AS second FROM {events}"""
 FEED_SQL = for_duckdb(FEED, "events")
 
@@ -88,10 +88,12 @@ SPEED = 600.0
         ROUND(SUM(delay) OVER (PARTITION BY user_id ORDER BY clock, event_id ROWS UNBOUNDED PRECEDING), 6) AS replay_offset_s
     FROM (SELECT *, GREATEST(0, LEAST(COALESCE(clock - LAG(clock) OVER (PARTITION BY user_id ORDER BY clock, event_id), 0)
             / {SPEED}::DOUBLE, {config.REPLAY_CAP_SECONDS}::DOUBLE)) AS delay
-        FROM (SELECT event_id, user_id, CAST(FLOOR(EPOCH(ts)) AS BIGINT) AS clock FROM events))""",
+        FROM (SELECT event_id, user_id, CAST(FLOOR(EPOCH(ts)) AS BIGINT) AS clock FROM events
+            WHERE event_id % 11 <> 0))
+    UNION ALL SELECT event_id, user_id, NULL, NULL FROM events WHERE event_id % 11 = 0""",
 )
 def _replay_offsets(spark, sf_dir):
-    clock = F.unix_seconds(F.col("ts").cast("timestamp"))
+    clock = F.when(F.col("event_id") % 11 != 0, F.unix_seconds(F.col("ts").cast("timestamp")))
     rows = table(spark, sf_dir, "events").select("event_id", "user_id", clock.alias("clock"))
     timed = ev.replay_offsets(rows, "user_id", "clock", "event_id", SPEED)
     return rounded(timed.drop("clock"), ("delay_s", "replay_offset_s"))
@@ -179,16 +181,21 @@ def _json_payload(spark, sf_dir):
 # --- streams ----------------------------------------------------------------
 
 
-def _stream(spark, sf_dir):
-    """The events file as a stream, in which every event arrives twice."""
-    schema = table(spark, sf_dir, "events").schema
+def _arrivals(spark, sf_dir, events):
+    """Events as a stream of four files, one per batch. The first three hold a third
+    of the ids each, so two of every three events come hours after later ones; the
+    last brings back half of all, as do repeats within each file."""
+    home = scratch_dir(spark, "arrivals")
+    again = events.where("id % 2 = 0")
+    parts = [events.where(f"id % 3 = {k}") for k in (2, 0, 1)] + [again]
+    for k, part in enumerate(parts):
+        part.unionByName(part.where("id % 5 = 1")).coalesce(1).write.parquet(f"{home}/part={k}")
+    options = {"maxFilesPerTrigger": "1"}
+    return live.event_source(spark, "parquet", options, events.schema, f"{home}/part=*")
 
-    def once():
-        options = {"pathGlobFilter": "events.parquet"}
-        return live.event_source(spark, "parquet", options, schema, sf_dir)
 
-    both = once().unionByName(once())
-    return both.withColumn("event_timestamp", F.col("ts").cast("timestamp")).select(
+def _feed_events(spark, sf_dir):
+    return table(spark, sf_dir, "events").select(
         F.col("event_id").alias("id"),
         F.col("user_id").alias("player_id"),
         F.col("event_type").alias("type_display_name"),
@@ -198,7 +205,7 @@ def _stream(spark, sf_dir):
         F.col("value").cast("float").alias("x"),
         (F.col("event_id") % 95).cast("int").alias("minute"),
         F.lit("https://example.org/match").alias("match_url"),
-        "event_timestamp",
+        F.col("ts").cast("timestamp").alias("event_timestamp"),
     )
 
 
@@ -208,15 +215,13 @@ def _stream(spark, sf_dir):
         CAST(event_id % 95 AS INTEGER) AS minute, ROUND(CAST(CAST(value AS FLOAT) AS DOUBLE), 4) AS x FROM events""",
 )
 def _stream_dedup(spark, sf_dir):
-    """Messages are packed, read back as the event table's columns, deduplicated
-    by id and appended to the table, which takes no id twice."""
+    """Messages are packed, read back as the event table's columns and appended to
+    the table, which is partitioned by day and takes no id twice."""
     home = scratch_dir(spark, "live")
-    messages = live.encode_events(_stream(spark, sf_dir))
-    unique = live.dedup_stream(live.decode_events(messages))
-    layout = ("match_url", "minute", "second")
-    live.event_sink(
-        unique, f"{home}/checkpoint", live.run_mode(live=False), live.insert_ignore(f"{home}/table", layout=layout)
-    ).awaitTermination()
+    events = live.decode_events(live.encode_events(_arrivals(spark, sf_dir, _feed_events(spark, sf_dir))))
+    daily = events.withColumn("day", F.to_date("event_timestamp"))
+    sink = live.insert_ignore(f"{home}/table", layout=("match_url", "minute", "second"), by=("day",))
+    live.event_sink(daily, f"{home}/checkpoint", live.run_mode(live=False), sink).awaitTermination()
     stored = live.read_sink(spark, f"{home}/table", config.LIVE_EVENT_DDL)
     return stored.select(
         "id", "player_id", "type_display_name", "is_goal", "minute",
@@ -226,9 +231,47 @@ def _stream_dedup(spark, sf_dir):
 
 @query("stream_routes", ROUTES_SQL)
 def _stream_routes(spark, sf_dir):
+    """New events go to their topics; what the table knew already goes nowhere."""
     home = scratch_dir(spark, "routes")
-    routed = ev.route_events(ev.ensure_flags(live.dedup_stream(_stream(spark, sf_dir))))
-    live.event_sink(
-        routed, f"{home}/checkpoint", live.run_mode(live=False), live.write_routes(f"{home}/topics")
-    ).awaitTermination()
+    events = ev.ensure_flags(_arrivals(spark, sf_dir, _feed_events(spark, sf_dir)))
+    routes = live.write_routes(f"{home}/topics")
+    sink = live.insert_ignore(f"{home}/table", then=lambda new, k: routes(ev.route_events(new), k))
+    live.event_sink(events, f"{home}/checkpoint", live.run_mode(live=False), sink).awaitTermination()
     return ev.topic_counts(spark.read.parquet(f"{home}/topics"))
+
+
+@query(
+    "stream_match",
+    """WITH e AS (SELECT event_id AS id, user_id + event_id % 2 AS player_id, 1 + event_id % 3 AS team_id,
+        CASE WHEN event_id % 2 = 0 THEN 'Player ' || CAST(user_id AS VARCHAR) ELSE 'Unknown' END AS player_name,
+        CASE event_id % 3 WHEN 0 THEN 'Home' WHEN 1 THEN 'Away' ELSE 'Unknown' END AS team_name,
+        event_type AS type_display_name, CASE WHEN event_id % 5 = 0 THEN 'none' ELSE 'Successful' END AS outcome_type_display_name,
+        event_type = 'purchase' AS is_goal, event_type = 'purchase' AS is_shot, event_type = 'error' AS card_type,
+        CAST(event_id % 95 AS INTEGER) AS minute, CAST(CASE WHEN event_id % 3 = 0 THEN 0 ELSE event_id % 60 END AS DOUBLE) AS second
+        FROM events WHERE event_type <> 'click' AND event_id % 7 <> 3)
+    SELECT topic, e.*, 7::BIGINT AS event_id, FALSE AS is_touch, NULL::DOUBLE AS x, NULL::DOUBLE AS y, NULL::DOUBLE AS end_x,
+        NULL::DOUBLE AS end_y, NULL::VARCHAR AS period_display_name, 'https://example.org/match' AS match_url, TRUE AS stamped
+    FROM e, (VALUES ('match.events'), ('special')) t(kind), LATERAL (SELECT CASE WHEN kind = 'match.events' THEN kind
+        WHEN is_goal THEN 'match.goals' WHEN is_shot THEN 'match.shots' WHEN card_type THEN 'match.cards' END AS topic) WHERE topic IS NOT NULL""",
+)
+def _stream_match(spark, sf_dir):
+    """Match pages to messages on topics, in one stream: pages are parsed, cleaned,
+    stamped, stored once, routed and packed. All columns of the event table."""
+    home = scratch_dir(spark, "match")
+    pages = derive(spark, sf_dir, MATCH_PAGE, "events")
+    pages.unionByName(pages.where("event_id % 4 = 1")).write.parquet(f"{home}/pages")
+    stream = live.event_source(spark, "parquet", None, pages.schema, f"{home}/pages")
+    docs = extract_embedded_json(stream).withColumn("match_url", F.lit("https://example.org/match"))
+    events = ev.stamp(ev.clean_events(ev.explode_match(docs)), F.col("match_url"))
+    kept = [c.split()[0] for c in config.LIVE_EVENT_DDL.split(",")]
+    events = events.select(*[F.col(c) if c in events.columns else F.lit(None).alias(c) for c in kept])
+    routes = live.write_routes(f"{home}/topics")
+    sink = live.insert_ignore(
+        f"{home}/table", by=("match_url",), then=lambda new, k: routes(live.encode_events(ev.route_events(new)), k)
+    )
+    live.event_sink(events, f"{home}/checkpoint", live.run_mode(live=False), sink).awaitTermination()
+    sent = spark.read.parquet(f"{home}/topics")
+    parsed = sent.select("topic", F.from_json("value", config.LIVE_EVENT_DDL).alias("e")).select("topic", "e.*")
+    numbers = {c: F.col(c).cast("double") for c in ("second", "x", "y", "end_x", "end_y")}
+    stamped = F.col("event_timestamp").isNotNull().alias("stamped")
+    return parsed.withColumns(numbers).select("topic", *[c for c in kept if c != "event_timestamp"], stamped)

@@ -17,35 +17,42 @@ from touchline.sources.tables import (
 
 
 def _tree(spark, sf_dir) -> str:
-    """root/geo/nation, root/people/customer and root/people/supplier, each with
-    its own header; some names need normalising."""
+    """root/geo/nation, root/people/customer and root/people/supplier, one file each
+    with its own header; some names need normalising, one is very long, cells hold
+    blanks, tabs and line breaks. root/none/empty has a header only."""
     root = scratch_dir(spark, "tree")
     nation, customer, supplier = (table(spark, sf_dir, t) for t in ("nation", "customer", "supplier"))
     padded = F.concat(F.lit("  "), F.col("c_name"), F.lit(" "))
     parts = {
-        "geo/nation": nation.select("n_nationkey", F.col("n_name").alias(" Full  Name % "), "n_regionkey"),
+        "geo/nation": nation.select(
+            "n_nationkey",
+            F.when(F.col("n_nationkey") % 4 == 1, F.concat("n_name", F.lit("\n,x"))).otherwise(F.col("n_name")).alias(" Full \n Name % "),
+            "n_regionkey",
+        ),
         "people/customer": customer.select(
             "c_custkey", padded.alias("Full Name"), "c_acctbal", F.col("c_nationkey").alias("n_nationkey"),
             F.when(F.col("c_mktsegment") == "MACHINERY", "N/A").otherwise(F.col("c_mktsegment")).alias("segment"),
         ),
         "people/supplier": supplier.select(
-            F.col("s_acctbal").alias("saves"), F.col("s_name").alias("full-name"), "s_suppkey"
+            F.col("s_acctbal").alias("saves"), F.concat(F.lit("\t"), "s_name", F.lit(" \t")).alias("full-name"), "s_suppkey",
+            F.col("s_nationkey").alias("n_nationkey" + "%" * 70_000),
         ),
+        "none/empty": nation.where("false").select("n_nationkey"),
     }
     for folder, df in parts.items():
-        df.write.option("header", "true").option("ignoreLeadingWhiteSpace", "false").option(
-            "ignoreTrailingWhiteSpace", "false"
-        ).csv(f"{root}/{folder}")
+        kept = {"header": "true", "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false", "escape": '"'}
+        df.coalesce(1).write.options(**kept).csv(f"{root}/{folder}")
     return root
 
 
 COLUMNS = ("C_ACCTBAL", "C_CUSTKEY", "FULL_NAME", "N_NATIONKEY", "N_REGIONKEY", "S_SUPPKEY", "SAVES", "SEGMENT")
-INGESTED_SQL = """SELECT 'geo' AS league, 'nation' AS team, NULL AS c_acctbal, NULL AS c_custkey, n_name AS full_name,
+INGESTED_SQL = """SELECT 'geo' AS league, 'nation' AS team, NULL AS c_acctbal, NULL AS c_custkey,
+        CASE WHEN n_nationkey % 4 = 1 THEN n_name || CHR(10) || ',x' ELSE n_name END AS full_name,
         CAST(n_nationkey AS VARCHAR) AS n_nationkey, CAST(n_regionkey AS VARCHAR) AS n_regionkey, NULL AS s_suppkey,
         NULL AS saves, NULL AS segment FROM nation
     UNION ALL SELECT 'people', 'customer', CAST(c_acctbal AS VARCHAR), CAST(c_custkey AS VARCHAR), c_name,
         CAST(c_nationkey AS VARCHAR), NULL, NULL, NULL, NULLIF(c_mktsegment, 'MACHINERY') FROM customer
-    UNION ALL SELECT 'people', 'supplier', NULL, NULL, s_name, NULL, NULL, CAST(s_suppkey AS VARCHAR),
+    UNION ALL SELECT 'people', 'supplier', NULL, NULL, s_name, CAST(s_nationkey AS VARCHAR), NULL, CAST(s_suppkey AS VARCHAR),
         CAST(s_acctbal AS VARCHAR), NULL FROM supplier"""
 
 
@@ -68,7 +75,7 @@ def _file_classify(spark, sf_dir):
     """Suppliers by a header, customers by a value ('BUILDING' as the position
     word), nations by neither. Counted per table: the number of files varies."""
     root = _tree(spark, sf_dir)
-    headers = csv_tree.read_headers(csv_tree.scan_csv_tree(spark, root))
+    headers = csv_tree.read_headers(spark, root, csv_tree.scan_csv_tree(spark, root))
     rows = csv_tree.read_csv_groups(spark, root, headers)
     types = csv_tree.classify_files(rows, headers, "SEGMENT", ("gk", "building"))
     typed = csv_tree.add_lineage(rows, types, "batch-1")
@@ -82,22 +89,28 @@ def _file_classify(spark, sf_dir):
 @query(
     "load_stats",
     """SELECT 'batch-1' AS batch, (SELECT COUNT(*) FROM customer) + (SELECT COUNT(*) FROM supplier)
-        + (SELECT COUNT(*) FROM nation) AS loaded, 0::BIGINT AS with_region
-    UNION ALL SELECT 'batch-2', (SELECT COUNT(*) FROM region), (SELECT COUNT(*) FROM region)""",
+        + (SELECT COUNT(*) FROM nation) AS loaded, 0::BIGINT AS with_region, 3::BIGINT AS processed, 1::BIGINT AS skipped
+    UNION ALL SELECT 'batch-2', (SELECT COUNT(*) FROM region), (SELECT COUNT(*) FROM region), 1, 0""",
 )
 def _load_stats(spark, sf_dir):
     """Two batches into one bronze table, the second with columns the first lacks;
     the table is then refreshed in whole and counted per batch."""
     home = scratch_dir(spark, "bronze")
-    first = csv_tree.ingest_csv_tree(spark, _tree(spark, sf_dir), "batch-1")
+    trees = {"batch-1": _tree(spark, sf_dir), "batch-2": scratch_dir(spark, "tree")}
+    first = csv_tree.ingest_csv_tree(spark, trees["batch-1"], "batch-1")
     append_bronze(first, f"{home}/table")
-    root = scratch_dir(spark, "tree")
-    table(spark, sf_dir, "region").write.option("header", "true").csv(f"{root}/geo/region")
-    second = csv_tree.ingest_csv_tree(spark, root, "batch-2")
+    region = table(spark, sf_dir, "region").coalesce(1)
+    region.write.option("header", "true").csv(f"{trees['batch-2']}/geo/region")
+    second = csv_tree.ingest_csv_tree(spark, trees["batch-2"], "batch-2")
     grown = [*first.columns, *missing_columns(second, first.columns)]
     append_bronze(align_schema(second, grown), f"{home}/table")
     write_table(read_table(spark, f"{home}/table", evolved=True), f"{home}/refreshed")
     bronze = read_table(spark, f"{home}/refreshed")
-    stats = csv_tree.load_stats(bronze)
+    stats = None
+    for batch, root in trees.items():
+        own = csv_tree.load_stats(bronze.where(F.col("_BATCH_ID") == batch), csv_tree.scan_csv_tree(spark, root))
+        stats = own if stats is None else stats.unionByName(own)
     filled = bronze.groupBy("_BATCH_ID").agg(F.count("R_NAME").alias("with_region"))
-    return stats.join(filled, "_BATCH_ID").select(F.col("_BATCH_ID").alias("batch"), "loaded", "with_region")
+    return stats.join(filled, "_BATCH_ID").select(
+        F.col("_BATCH_ID").alias("batch"), "loaded", "with_region", "processed", "skipped"
+    )

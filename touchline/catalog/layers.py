@@ -20,7 +20,7 @@ def _int(text: str, to: str = "INTEGER") -> str:
 def _money(column: str, sign: str) -> str:
     sign = "\\" + sign if sign == "$" else sign
     found = f"NULLIF(REGEXP_EXTRACT({column}, '{sign}[\\s]?([0-9,]+)', 1), '')"
-    return _int(f"REPLACE({found}, ',', '')")
+    return _int(f"REPLACE({found}, ',', '')", "BIGINT")
 
 
 def _stg_players_sql() -> str:
@@ -265,13 +265,22 @@ def rounded(df: DataFrame, columns, digits: int = 6) -> DataFrame:
     return df.withColumns({c: F.round(c, digits) for c in columns})
 
 
-_WAREHOUSES: dict[tuple[str, str], Medallion] = {}
+_WAREHOUSES: dict[tuple, Medallion] = {}
+SOURCES = ("lineitem", "part", "supplier", "nation")
+
+
+def _state(spark: SparkSession, sf_dir: str) -> tuple:
+    """Files, bytes and times of the source tables, from their listing."""
+    paths = [f"{sf_dir.rstrip('/')}/{t}.parquet" for t in SOURCES]
+    listed = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(paths)
+    return tuple(listed.agg(F.count("*"), F.sum("length"), F.max("modificationTime").cast("string")).first())
 
 
 def warehouse(spark: SparkSession, sf_dir: str) -> Medallion:
     """The stored tables over one data folder, built on first use and then shared
-    by the queries of a session, as the tables of a warehouse are."""
-    key = (spark.sparkContext.applicationId, sf_dir)
+    by the queries of a session, as the tables of a warehouse are. Changed source
+    files make a new one."""
+    key = (spark.sparkContext.applicationId, sf_dir, _state(spark, sf_dir))
     known = _WAREHOUSES.get(key)
     if known is None or not known.intact():
         known = Medallion(bronze_players(spark, sf_dir), bronze_market(spark, sf_dir))
@@ -292,11 +301,6 @@ def _int_player_name_match(spark, sf_dir):
     return gold.name_match(bronze_players(spark, sf_dir), bronze_market(spark, sf_dir))
 
 
-@query("dim_player_bridge", oracle("dim_player_bridge"))
-def _dim_player_bridge(spark, sf_dir):
-    return gold.dim_player_bridge(_int_player_name_match(spark, sf_dir))
-
-
 @query("dim_season", oracle("dim_season"))
 def _dim_season(spark, sf_dir):
     return gold.dim_season(silver.stg_players(bronze_players(spark, sf_dir)))
@@ -307,12 +311,6 @@ def _dim_club(spark, sf_dir):
     return gold.dim_club(silver.stg_players(bronze_players(spark, sf_dir)))
 
 
-@query("dim_player", oracle("dim_player"))
-def _dim_player(spark, sf_dir):
-    stg = silver.stg_players(bronze_players(spark, sf_dir))
-    return gold.dim_player(stg, _dim_player_bridge(spark, sf_dir))
-
-
 # Several consumers: the layers below are stored, and this one is planned on them.
 
 
@@ -325,6 +323,8 @@ def _stored(name: str, metrics=(), sql: str | None = None, digits: int = 6):
 
 
 _stored("stg_players")
+_stored("dim_player_bridge")
+_stored("dim_player")
 _stored("fact_outfield_stats")
 _stored("fact_goalkeeper_stats")
 _stored("fact_player_season_stats")

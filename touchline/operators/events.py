@@ -90,7 +90,7 @@ def coerce_numbers(
             number = nan_to_null(F.col(c).try_cast("double"))
             made[c] = F.coalesce(number, F.lit(0.0)) if c in zeros else number
     if "minute" in made:
-        made["minute"] = made["minute"].cast("int")
+        made["minute"] = F.coalesce(made["minute"].try_cast("int"), F.lit(0))
     return df.withColumns(made)
 
 
@@ -149,9 +149,10 @@ def replay_offsets(
     below 0 nor above `cap`; the offset is the running sum. Both depend on the
     distinct clock values of a match alone, so events are first reduced to those,
     and then ordered within (match, hour). A second, small window over the hours
-    of a match carries clock and offset across. No task sees a whole match.
+    of a match carries clock and offset across. No task sees a whole match. Events
+    without a clock or a match stay, with a null delay and offset.
     """
-    ticks = df.groupBy(match, clock).agg(F.min(event_id).alias("_first"))
+    ticks = df.where(F.col(clock).isNotNull()).groupBy(match, clock).agg(F.min(event_id).alias("_first"))
     ticks = ticks.withColumn("_bucket", F.floor(F.col(clock) / bucket_seconds))
     inside = Window.partitionBy(match, "_bucket").orderBy(clock)
     gap = F.col(clock) - F.lag(clock).over(inside)
@@ -182,7 +183,7 @@ def replay_offsets(
     )
     is_first = F.col(event_id) == F.col("_first")
     return (
-        df.join(ticks, [match, clock])
-        .withColumn("delay_s", F.when(is_first, F.col("_delay")).otherwise(F.lit(0.0)))
+        df.join(ticks, [match, clock], "left")
+        .withColumn("delay_s", F.when(is_first, F.col("_delay")).when(~is_first, F.lit(0.0)))
         .drop("_first", "_delay")
     )

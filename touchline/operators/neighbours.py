@@ -72,7 +72,7 @@ def similar_all(
     mismatch: float = config.ROLE_MISMATCH,
     block_rows: int = BLOCK_ROWS,
 ) -> DataFrame:
-    """Top `n` per name: name_key, query_key, rank, match_key, similarity_score.
+    """Top `n` per name: name_key, query_key, rank, match_key, match_name, similarity_score.
 
     One query per name in lower case (`name_key`), made with its first row by
     key, as a lookup by name would. Exact: the result equals scoring all pairs.
@@ -97,6 +97,7 @@ def similar_all(
         "query_key",
         (F.col("pos") + 1).alias("rank"),
         F.col("col.key").alias("match_key"),
+        F.col("col.name").alias("match_name"),
         (F.lit(0.0) - F.col("col.minus")).alias("similarity_score"),
     )
 
@@ -104,9 +105,10 @@ def similar_all(
 def _shortlist(df: DataFrame, group: str, order: list[str], n: int) -> DataFrame:
     """Of each group the rows that can be among the first `n` once any one name is
     left out: at most `n` per name, of the first `n + 1` names."""
-    per_name = Window.partitionBy(group, "name").orderBy(*order)
-    lead = F.first(F.struct(*order)).over(per_name)
-    few = rank_per_key(df.withColumn("lead", lead), [group, "name"], order, n, "_r")
+    # Ranked on its own, so that every map task sends at most `n` rows per name.
+    few = rank_per_key(df, [group, "name"], order, n, "_r")
+    lead = F.first(F.struct(*order)).over(Window.partitionBy(group, "name").orderBy("_r"))
+    few = few.withColumn("lead", lead)
     names = Window.partitionBy(group).orderBy("lead")
     return few.withColumn("_n", F.dense_rank().over(names)).where(F.col("_n") <= n + 1)
 

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from touchline import config
 from touchline.operators.rows import rank_per_key
+from touchline.session import materialise
 
 
 def recency_weighted(
@@ -46,10 +47,12 @@ def recency_decay(
     """Sums weighted by `base ** age`, age counted in years from the newest year
     of the whole table; with the maximum of `largest` per key.
 
-    The newest year is a scalar subquery: one aggregate, no whole-table window.
+    The input is read once, into sums per key and year, which are stored; the newest
+    year and the weighted sums come from those.
     """
-    newest = df.agg(F.max(year)).scalar()
-    aged = df.withColumn("_weight", F.pow(F.lit(base), newest - F.col(year)))
-    sums = [F.sum(F.col(m).cast("double") * F.col("_weight")).alias(m) for m in metrics]
     tops = [F.max(largest).alias(largest)] if largest else []
-    return aged.groupBy(key).agg(*sums, *tops)
+    yearly = df.groupBy(key, year).agg(*[F.sum(F.col(m).cast("double")).alias(m) for m in metrics], *tops)
+    yearly = materialise(yearly, "yearly")
+    newest = yearly.agg(F.max(year)).scalar()
+    weight = F.pow(F.lit(base), newest - F.col(year))
+    return yearly.groupBy(key).agg(*[F.sum(F.col(m) * weight).alias(m) for m in metrics], *tops)

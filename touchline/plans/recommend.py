@@ -71,11 +71,14 @@ def recommend(
             )
         )
         top = similar_all(scored_pool(mart, stats, features), n, **extra)
-        details = mart.select(
-            F.col("player_key").alias("match_key"), F.col("player_name").alias("predicted_player_name"),
-            *_CARRIED,
-        )
-        found.append(top.join(details, "match_key").withColumn("pool", F.lit(pool)))
+        # A key may stand for several names: matches are looked up by both, and of rows
+        # alike in both one is reported.
+        details = mart.groupBy(
+            F.col("player_key").alias("match_key"), F.col("player_name").alias("predicted_player_name")
+        ).agg(F.min(F.struct(*_CARRIED)).alias("_details"))
+        named = top.withColumnRenamed("match_name", "predicted_player_name")
+        details = details.select("match_key", "predicted_player_name", "_details.*")
+        found.append(named.join(details, ["match_key", "predicted_player_name"]).withColumn("pool", F.lit(pool)))
     everyone = targets[0]
     for more in targets[1:]:
         everyone = everyone.unionByName(more)

@@ -33,7 +33,7 @@ def money(c: Column, sign: str) -> Column:
     """The first amount behind a currency sign."""
     sign = "\\" + sign if sign == "$" else sign
     amount = extract_or_null(c, sign + r"[\s]?([0-9,]+)")
-    return tolerant_int(F.replace(amount, F.lit(","), F.lit("")))
+    return tolerant_int(F.replace(amount, F.lit(","), F.lit("")), "bigint")
 
 
 def player_spec() -> dict[str, Column]:

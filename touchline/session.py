@@ -37,16 +37,26 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
     return builder.getOrCreate()
 
 
+#: The folder for stored results where spark.checkpoint.dir is left to its owner.
+SCRATCH = "spark.touchline.scratch.dir"
+_LOCAL: dict[str, str] = {}
+
+
 def scratch_dir(spark: SparkSession, label: str) -> str:
-    """A fresh path below the shared folder the cluster names.
+    """A fresh path below the shared folder the cluster names: `SCRATCH` if set, else
+    `spark.checkpoint.dir`.
 
-    `spark.checkpoint.dir` is read from the session. Only where it is unset, as
-    on a developer machine, is a local folder taken instead.
+    Without either, a session that runs on this machine alone takes a local folder,
+    one per application; on a cluster there is no such folder, and it is an error.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
+    base = spark.conf.get(SCRATCH, None) or spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        base = tempfile.mkdtemp(prefix="run-")
-        spark.conf.set("spark.checkpoint.dir", base)
+        context = spark.sparkContext
+        if not context.master.startswith("local") or context.master.startswith("local-cluster"):
+            raise ValueError(f"set {SCRATCH} or spark.checkpoint.dir to a folder that all executors share")
+        if context.applicationId not in _LOCAL:
+            _LOCAL[context.applicationId] = tempfile.mkdtemp(prefix="run-")
+        base = _LOCAL[context.applicationId]
     return f"{base.rstrip('/')}/touchline/{label}-{uuid.uuid4().hex}"
 
 

@@ -1,23 +1,24 @@
 """Trees of CSV files with differing headers, read as text.
 
 One scan binds cells by position to generic columns; each row then takes its
-names from the header of its own file. So any mix of headers is one job, a file
-list never passes through the driver, and a large file is split like any other.
+names from the header of its own file, so any mix of headers is one job. Everything
+is read by Spark's own readers. A file that cannot be read ends the job; one that has
+nothing to load is listed with the reason.
 """
 
 from __future__ import annotations
 
 import csv
+import io
 from collections.abc import Iterable, Sequence
 from urllib.parse import urlparse
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from touchline import config
 from touchline.session import materialise
 
-HEADER_BYTES = 1 << 16
 LINEAGE = ("_SOURCE_FILE", "_LEAGUE", "_TEAM", "_PLAYER_TYPE", "_BATCH_ID", "_INGEST_TS")
 _SCAN = {"recursiveFileLookup": "true", "pathGlobFilter": "*.csv"}
 
@@ -26,9 +27,17 @@ def scan_csv_tree(spark: SparkSession, root: str) -> DataFrame:
     """file_path, file_name, league, team and length of every CSV below `root`.
 
     League and team are the first two folders of files at least that deep. Only
-    the listing is read, no file content. Spark lists no file without content.
+    the listing is read, no file content. Spark's scan leaves out files of no bytes;
+    these come from the listing, which the driver has made for the scan.
     """
-    files = spark.read.format("binaryFile").options(**_SCAN).load(root)
+    listed = spark.read.format("binaryFile").options(**_SCAN).load(root)
+    every = spark.createDataFrame([(f,) for f in listed.inputFiles()], "path string")
+    full = listed.select(_decoded("path", False).alias("_at"), "length")
+    files = (
+        every.select(_decoded("path").alias("path")).distinct()
+        .join(full, F.col("path") == F.col("_at"), "left")
+        .select("path", F.coalesce("length", F.lit(0)).alias("length"))
+    )
     below = urlparse(root).path.rstrip("/") + "/"
     start = F.instr(F.col("path"), F.lit(below)) + len(below)
     parts = F.split(F.expr("path").substr(start, F.length("path")), "/")
@@ -42,46 +51,67 @@ def scan_csv_tree(spark: SparkSession, root: str) -> DataFrame:
     )
 
 
-def _first_lines(batches: Iterable[pd.DataFrame]):
-    from pyarrow import fs
-
+def _first_records(batches: Iterable[pd.DataFrame]):
     for batch in batches:
-        headers = []
-        for path in batch["file_path"]:
-            uri = path.replace("s3a://", "s3://", 1)
-            if uri.startswith("file:"):
-                system, inner = fs.LocalFileSystem(), urlparse(path).path
-            else:
-                system, inner = fs.FileSystem.from_uri(uri)
-            try:
-                with system.open_input_stream(inner) as stream:
-                    text = stream.read(HEADER_BYTES).decode("utf-8", errors="replace")
-            except OSError:
-                text = ""  # an unreadable file is skipped, as an empty one is
-            line = text.lstrip("\ufeff").split("\n", 1)[0].rstrip("\r")
-            headers.append(next(csv.reader([line]), []) if line.strip() else [])
-        yield batch.assign(header=headers)
+        texts = [(t or "").lstrip("\ufeff") for t in batch.pop("text")]
+        yield batch.assign(header=[next(csv.reader(io.StringIO(t)), []) if t.strip() else [] for t in texts])
+
+
+def stripped(c: Column) -> Column:
+    """Without white space of any kind at either end."""
+    return F.regexp_replace(c, r"(?U)^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+$", "")
 
 
 def normalise_header(name: Column) -> Column:
-    upper = F.regexp_replace(F.upper(F.trim(name)), "[^A-Z0-9_]", "_")
+    upper = F.regexp_replace(F.upper(stripped(name)), "[^A-Z0-9_]", "_")
     return F.regexp_replace(F.regexp_replace(upper, "_+", "_"), "^_|_$", "")
 
 
-def read_headers(files: DataFrame, required: Sequence[str] = ()) -> DataFrame:
-    """Adds the raw `header` and normalised `columns` of each file.
-
-    Each task opens its files for one line. Files without a header, or without
-    one of the `required` columns, are left out.
-    """
+def _first_texts(spark: SparkSession, root: str) -> DataFrame:
+    """file_path and text of the first record of each file: its first line, or as many
+    as it takes to close every quote. Whole lines of any length, kept by aggregates
+    that hold one line per file."""
+    lines = (
+        spark.read.options(**_SCAN).text(root)
+        .select(_decoded("_metadata.file_path").alias("file_path"), "value", F.monotonically_increasing_id().alias("at"))
+        .where("_metadata.file_block_start = 0")
+    )
+    first = lines.groupBy("file_path").agg(F.min(F.struct("at", "value"))["value"].alias("text"))
+    first = materialise(first, "first-lines")
+    quotes = F.length("text") - F.length(F.replace("text", F.lit('"')))
+    broken = first.where(quotes % 2 == 1).select("file_path")
+    closing = Window.partitionBy("file_path").orderBy("at")
+    some = lines.join(broken, "file_path").withColumn(
+        "odd", F.sum(F.length("value") - F.length(F.replace("value", F.lit('"')))).over(closing) % 2
+    )
+    # Lines up to the first at which all quotes are closed.
+    some = some.withColumn("open", F.coalesce(F.min("odd").over(closing.rowsBetween(Window.unboundedPreceding, -1)), F.lit(1)))
+    joined = (
+        some.where("open = 1").groupBy("file_path")
+        .agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("at", "value"))), lambda x: x["value"]), "\n").alias("text"))
+    )
+    return first.where(quotes % 2 == 0).unionByName(joined)
+
+
+def check_headers(spark: SparkSession, root: str, files: DataFrame, required: Sequence[str] = ()) -> DataFrame:
+    """Adds the raw `header`, normalised `columns` and `problem` of each file: why it
+    cannot be loaded, else null."""
+    texts = _first_texts(spark, root)
+    at = _decoded("file_path", False)
+    found = files.withColumn("_at", at).join(texts.withColumnRenamed("file_path", "_at"), "_at", "left").drop("_at")
     schema = ", ".join(f"{name} {kind}" for name, kind in files.dtypes)
-    found = files.mapInPandas(_first_lines, f"{schema}, header array<string>")
-    found = found.where(F.size("header") > 0).withColumn(
+    found = found.mapInPandas(_first_records, f"{schema}, header array<string>").withColumn(
         "columns", F.transform("header", normalise_header)
     )
+    problem = F.when(F.col("length") == 0, "empty").when(F.size("header") == 0, "no header")
     for name in required:
-        found = found.where(F.array_contains("columns", name))
-    return found
+        problem = problem.when(~F.array_contains("columns", name), f"no column {name}")
+    return found.withColumn("problem", problem)
+
+
+def read_headers(spark: SparkSession, root: str, files: DataFrame, required: Sequence[str] = ()) -> DataFrame:
+    """The files that can be loaded, with `header` and `columns`."""
+    return check_headers(spark, root, files, required).where("problem is null").drop("problem")
 
 
 def read_csv_groups(
@@ -89,11 +119,12 @@ def read_csv_groups(
     root: str,
     headers: DataFrame,
     null_tokens: Sequence[str] = config.NULL_TOKENS,
-    multi_line: bool = False,
+    multi_line: bool = True,
 ) -> DataFrame:
-    """All rows of the tree as trimmed text under the union of all columns, with
+    """All rows of the tree as stripped text under the union of all columns, with
     `_SOURCE_FILE`, `_LEAGUE` and `_TEAM`. A column absent from a file is null
-    there. Set `multi_line` where quoted cells hold line breaks."""
+    there. Quoted cells may hold line breaks; where none do, `multi_line=False`
+    lets Spark split large files."""
     shape = headers.select(
         F.size("columns").alias("width"), F.explode("columns").alias("column")
     ).agg(F.max("width").alias("width"), F.sort_array(F.collect_set("column")).alias("columns")).first()
@@ -102,22 +133,24 @@ def read_csv_groups(
     raw = (
         spark.read.schema(", ".join(f"{c} string" for c in cells) or "c0 string")
         .options(**_SCAN, header="true", enforceSchema="true", mode="PERMISSIVE")
-        .options(multiLine=str(multi_line).lower(), ignoreCorruptFiles="true", escape='"')
+        .options(multiLine=str(multi_line).lower(), escape='"')
         .csv(root)
         .select(F.array(*cells).alias("cells"), _decoded("_metadata.file_path").alias("file_path"))
     )
+    # Where each column of the union stands in a file is worked out once per file.
+    order = F.transform(
+        F.split(F.lit("\n".join(names)), "\n"),
+        lambda n: F.nullif(F.array_position("columns", n), F.lit(0)).cast("int"),
+    )
     rows = raw.join(
-        headers.select(_decoded("file_path", False).alias("file_path"), "columns", "league", "team"),
+        headers.select(_decoded("file_path", False).alias("file_path"), order.alias("order"), "league", "team"),
         "file_path",
     )
-
-    def cell(name: str) -> Column:
-        where = F.nullif(F.array_position("columns", name), F.lit(0)).cast("int")
-        text = F.trim(F.try_element_at("cells", where))
-        return F.when(~text.isin(*null_tokens), text).alias(name)
-
+    # Null tokens count as written; only 'nan' is also one after stripping.
+    value = lambda c: F.when(~c.isin(*null_tokens) & (stripped(c) != "nan"), stripped(c))
+    rows = rows.withColumn("values", F.transform("order", lambda i: value(F.try_element_at("cells", i))))
     return rows.select(
-        *[cell(name) for name in names],
+        *[F.col("values")[k].alias(name) for k, name in enumerate(names)],
         F.col("file_path").alias("_SOURCE_FILE"),
         F.col("league").alias("_LEAGUE"),
         F.col("team").alias("_TEAM"),
@@ -141,7 +174,7 @@ def classify_files(
 ) -> DataFrame:
     """file_path and player_type: goalkeeper if any position names one, or else
     if the header holds a keeper column; outfield otherwise."""
-    plain = F.transform("header", lambda h: F.lower(F.trim(h)))
+    plain = F.transform("header", lambda h: F.lower(stripped(h)))
     by_header = headers.select(
         _decoded("file_path", False).alias("file_path"),
         F.arrays_overlap(plain, F.array(*[F.lit(m) for m in markers])).alias("by_header"),
@@ -172,14 +205,14 @@ def ingest_csv_tree(
     batch_id: str,
     required: Sequence[str] = (),
     null_tokens: Sequence[str] = config.NULL_TOKENS,
-    multi_line: bool = False,
+    multi_line: bool = True,
 ) -> DataFrame:
     """Bronze rows of a whole tree.
 
     The CSV text is read once: rows are staged as Parquet in the shared folder,
     from which the classifier reads just two columns.
     """
-    headers = materialise(read_headers(scan_csv_tree(spark, root), required), "headers")
+    headers = materialise(read_headers(spark, root, scan_csv_tree(spark, root), required), "headers")
     rows = materialise(read_csv_groups(spark, root, headers, null_tokens, multi_line), "rows")
     return add_lineage(rows, classify_files(rows, headers), batch_id)
 

@@ -22,14 +22,12 @@ def missing_columns(incoming: DataFrame, existing: Sequence[str]) -> list[str]:
 
 
 def align_schema(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Every column of `columns` as text where absent, then whatever else `df` has."""
-    absent = {c: F.lit(None).cast("string") for c in missing_columns_of(columns, df.columns)}
-    return df.withColumns(absent).select(*columns, *[c for c in df.columns if c not in columns])
-
-
-def missing_columns_of(wanted: Sequence[str], have: Sequence[str]) -> list[str]:
-    known = {c.upper() for c in have}
-    return [c for c in wanted if c.upper() not in known]
+    """Every column of `columns` under its name there, as text where absent, then
+    whatever else `df` has; names are compared without regard to case."""
+    own = {c.upper(): c for c in df.columns}
+    known = [F.col(f"`{own[c.upper()]}`") if c.upper() in own else F.lit(None).cast("string") for c in columns]
+    rest = missing_columns(df, columns)
+    return df.select(*[k.alias(c) for k, c in zip(known, columns)], *[F.col(f"`{c}`") for c in rest])
 
 
 def append_bronze(df: DataFrame, path: str) -> None:

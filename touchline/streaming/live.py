@@ -30,13 +30,15 @@ def event_source(
     return reader.load(path) if path else reader.load()
 
 
-def encode_events(df: DataFrame, key: str = "id") -> DataFrame:
-    """Key and JSON value per event, with NaN as null."""
+def encode_events(df: DataFrame, key: str = "id", topic: str = "topic") -> DataFrame:
+    """Key and JSON value per event, with NaN as null and nulls written out. A column
+    named `topic` is not packed but kept beside them, as a broker sink routes by it."""
     doubles = {c: nan_to_null(F.col(c)) for c, t in df.dtypes if t in ("double", "float")}
     clean = df.withColumns(doubles) if doubles else df
-    return clean.select(
-        F.col(key).cast("string").alias("key"), F.to_json(F.struct(*clean.columns)).alias("value")
-    )
+    packed = F.struct(*[c for c in clean.columns if c != topic])
+    value = F.to_json(packed, {"ignoreNullFields": "false"}).alias("value")
+    routed = [F.col(topic)] if topic in clean.columns else []
+    return clean.select(*routed, F.col(key).cast("string").alias("key"), value)
 
 
 def decode_events(df: DataFrame, schema: str = config.LIVE_EVENT_DDL, value: str = "value") -> DataFrame:
@@ -46,14 +48,6 @@ def decode_events(df: DataFrame, schema: str = config.LIVE_EVENT_DDL, value: str
     return parsed.select("e.*").where(F.col("id").isNotNull())
 
 
-def dedup_stream(
-    df: DataFrame, key: str = "id", time: str = "event_timestamp", within: str = "10 minutes"
-) -> DataFrame:
-    """First arrival of each key; state is dropped `within` after its event time."""
-    timed = df.withColumn(time, F.col(time).cast("timestamp"))
-    return timed.withWatermark(time, within).dropDuplicatesWithinWatermark([key])
-
-
 def read_sink(spark: SparkSession, path: str, schema) -> DataFrame:
     """What a Parquet sink holds; no rows before its first batch."""
     try:
@@ -65,28 +59,49 @@ def read_sink(spark: SparkSession, path: str, schema) -> DataFrame:
 
 
 def insert_ignore(
-    path: str, key: str = "id", layout: tuple[str, ...] = ()
+    path: str,
+    key: str = "id",
+    layout: tuple[str, ...] = (),
+    by: tuple[str, ...] = (),
+    then: Callable[[DataFrame, int], None] | None = None,
 ) -> Callable[[DataFrame, int], None]:
     """A `foreachBatch` writer that skips keys its table already holds.
 
-    It catches repeats that come later than the stream's state remembers, and
-    makes a batch that is run again after a failure harmless. Only the key column
-    of the table is read. `layout` ranges and sorts the files; ranges split a
-    match of any size, as hashing its id would not.
+    An event is new if no earlier batch stored its key, however late it comes; no
+    state is kept that could forget a key or drop an event. Each batch has a folder
+    of its own, so one that is run again replaces what it wrote. `by` partitions the
+    table by columns that a key fixes, such as its match or day: then only the
+    partitions that the batch touches are looked up, and only their key column is
+    read. `layout` ranges and sorts the files; ranges split a match of any size, as
+    hashing its id would not. `then` is given the new events as stored.
     """
 
-    def write(batch: DataFrame, _: int) -> None:
-        known = read_sink(batch.sparkSession, path, batch.schema).select(key)
-        fresh = batch.dropDuplicates([key]).join(known, key, "left_anti").select(*batch.columns)
-        if layout:
-            fresh = fresh.repartitionByRange(*layout, key).sortWithinPartitions(*layout, key)
-        fresh.write.mode("append").parquet(path)
+    def write(batch: DataFrame, batch_id: int) -> None:
+        spark, schema = batch.sparkSession, batch.schema
+        batch = batch.persist()
+        try:
+            known = read_sink(spark, path, schema)
+            if "batch" in known.columns:
+                known = known.where(F.col("batch") < batch_id)
+            for column in by:
+                # As many values as the batch has partitions.
+                touched = [r[0] for r in batch.select(column).distinct().collect()]
+                known = known.where(F.col(column).isin([v for v in touched if v is not None]) | F.col(column).isNull())
+            fresh = batch.dropDuplicates([key]).join(known.select(key), key, "left_anti").select(*batch.columns)
+            if layout:
+                fresh = fresh.repartitionByRange(*layout, key).sortWithinPartitions(*layout, key)
+            own = f"{path}/batch={batch_id}"
+            fresh.write.mode("overwrite").partitionBy(*by).parquet(own)
+            if then:
+                then(spark.read.schema(schema).parquet(own), batch_id)
+        finally:
+            batch.unpersist()
 
     return write
 
 
 def write_routes(root: str) -> Callable[[DataFrame, int], None]:
-    """A `foreachBatch` writer with one folder per topic and batch.
+    """A batch writer with one folder per topic and batch.
 
     A batch that is run again replaces its own folders, so counts stay right.
     """
@@ -135,8 +150,12 @@ def until_finished(
     over = {"yes": False}
 
     def wrapped(batch: DataFrame, batch_id: int) -> None:
-        write(batch, batch_id)
-        seen = batch.agg(F.max(is_live(status)).alias("live")).first()["live"]
+        batch = batch.persist()  # one evaluation for the writer and the status
+        try:
+            seen = batch.agg(F.max(is_live(status)).alias("live")).first()["live"]
+            write(batch, batch_id)
+        finally:
+            batch.unpersist()
         over["yes"] = over["yes"] or seen is False
 
     def wait(query: StreamingQuery) -> None:
