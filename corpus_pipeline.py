@@ -16,9 +16,9 @@ from touchline.llm.quality import accepted
 from touchline.llm.queries import vocabulary
 from touchline.llm.simhash import first_of_groups
 
-#: Near duplicates: words of a shingle, and fingerprints of 128 bits of which at least
-#: 0.8 are alike, 7 or fewer of one half's 64 differing.
-SHINGLE, WORDS, REACH, MOST = 5, 2, 7, 25
+#: Near duplicates: words of a shingle; 64-bit words of a fingerprint, each with a grid
+#: for every fourth of it; and bits of the first two that may differ, a fifth.
+NEAR = {"shingle": 5, "words": 12, "reach": 3, "blocks": 4, "compared": 2, "most": 25}
 
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -29,7 +29,7 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 def keep_first_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates."""
     table(spark, sf_dir, "documents")
-    return first_of_groups(docs, shingle=SHINGLE, words=WORDS, reach=REACH, most=MOST)
+    return first_of_groups(docs, **NEAR)
 
 
 def keep_uncontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -7,8 +7,9 @@ in b blocks, b - r blocks or more are at distance nothing: cells of the grid are
 values of b - r blocks, and every link meets in one of the C(b, r) grids. In a cell the
 fingerprints themselves are compared, and of its links only a spanning forest goes on.
 
-A fingerprint may have further words of 64 bits from other seeds. Each word then has
-grids of its own, and the bits of all words are compared.
+A fingerprint may have further words of 64 bits. Each word then has grids of its own,
+in which pairs meet that are further apart than any one word could promise, and the
+bits of the first few words are compared.
 """
 
 from __future__ import annotations
@@ -39,8 +40,8 @@ FOLD = bytes(32 if c in (9, 10, 11, 12, 13) else c + 32 if 65 <= c <= 90 else c
 
 
 def fingerprint(text: bytes | None, shingle: int, words: int = 1) -> tuple[int, ...]:
-    """64 majority bits over the XXH64 of all shingles, as a signed number, for each of
-    as many seeds as `words`."""
+    """64 majority bits over the XXH64 of all shingles, as a signed number, and over as
+    many further hashes, mixed from it, as `words` asks for."""
     found = text.translate(FOLD).split() if text else []
     if not found:
         return (0,) * words
@@ -53,7 +54,16 @@ def fingerprint(text: bytes | None, shingle: int, words: int = 1) -> tuple[int,
         starts = (ends - lengths)[: len(found) - shingle + 1].tolist()
         shingles = [line[a:b] for a, b in zip(starts, ends[shingle - 1 :].tolist())]
     digest = xxhash.xxh64_intdigest
-    return tuple(_majority(np.array([digest(s, SEED + w) for s in shingles], np.uint64)) for w in range(words))
+    hashes = np.array([digest(s, SEED) for s in shingles], np.uint64)
+    return tuple(_majority(mixed(hashes, w) if w else hashes) for w in range(words))
+
+
+def mixed(hashes: np.ndarray, word: int) -> np.ndarray:
+    """Further hashes from one: a step of a counter, then the bits mixed through."""
+    h = hashes + np.uint64(word * 0x9E3779B97F4A7C15 % (1 << 64))
+    h = (h ^ (h >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    h = (h ^ (h >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return h ^ (h >> np.uint64(31))
 
 
 def _majority(hashes: np.ndarray) -> int:
@@ -192,18 +202,18 @@ def _meet(words: int, most: int):
     return run
 
 
-def linked(distinct: DataFrame, words: int, reach: int, most: int, blocks: int) -> DataFrame:
-    """Links (a0, .., b0, ..) between different fingerprints `fp0`, .. at `most` or fewer
-    bits that differ by `reach` or fewer in one word, as far as they are needed to join
-    all that are joined."""
-    names = [f"fp{w}" for w in range(words)]
+def linked(distinct: DataFrame, words: int, compared: int, reach: int, most: int, blocks: int) -> DataFrame:
+    """Links (a0, .., b0, ..) between different points fp0, .. of a cell that differ in
+    `most` or fewer bits of the `compared` first words, as far as they are needed to
+    join all that are joined."""
+    names = [f"fp{w}" for w in range(compared)]
     masks = grids(blocks, reach)
     places = [
         F.struct(F.lit(w * len(masks) + k).alias("grid"), F.col(f"packed{w}").bitwiseAND(F.lit(_signed(mask))).alias("cell"))
         for w in range(words)
         for k, mask in enumerate(masks)
     ]
-    packed = distinct.select(*names, *[embedding(F.col(n)).alias(f"packed{w}") for w, n in enumerate(names)])
+    packed = distinct.select(*names, *[embedding(F.col(f"fp{w}")).alias(f"packed{w}") for w in range(words)])
     cells = packed.select(*names, F.explode(F.array(*places)).alias("at")).select(*names, "at.grid", "at.cell")
     large = (
         cells.groupBy("grid", "cell").count().where(F.col("count") > CHUNK)
@@ -219,20 +229,28 @@ def linked(distinct: DataFrame, words: int, reach: int, most: int, blocks: int)
     )
     keys = ["grid", "cell", "low", "high"]
     sorted_cells = dealt.repartition(*keys).sortWithinPartitions(*keys)
-    ends = [f"{s}{w}" for s in "ab" for w in range(words)]
-    return sorted_cells.mapInArrow(_meet(words, most), ", ".join(f"{e} long" for e in ends)).distinct()
+    ends = [f"{s}{w}" for s in "ab" for w in range(compared)]
+    return sorted_cells.mapInArrow(_meet(compared, most), ", ".join(f"{e} long" for e in ends)).distinct()
 
 
 def near_duplicates(
-    docs: DataFrame, shingle: int = 4, reach: int = 4, words: int = 1, most: int | None = None, blocks: int | None = None
+    docs: DataFrame,
+    shingle: int = 4,
+    reach: int = 4,
+    words: int = 1,
+    compared: int = 1,
+    most: int | None = None,
+    blocks: int | None = None,
 ) -> DataFrame:
     """(doc_id, row, fp0, .., group, component_id) for every row of `docs` (doc_id, text).
 
-    Fingerprints are linked at `most` or fewer differing bits, if `reach` or fewer of
-    them lie in one word (one word: `most` is `reach`); `component_id` is the smallest
-    doc_id that links reach, the row's own included. Rows with one fingerprint are one
-    point, so copies never meet one by one. Every link counts; `blocks` sets how fine
-    the grids are and not what they find.
+    Fingerprints are linked if they share a cell of any word's grids and differ in
+    `most` or fewer bits of the `compared` first words. All that differ in `reach` or
+    fewer bits of a word share one; with one word and `most` left at `reach`, links are
+    just these, whatever `blocks`. More words let pairs meet that differ by more in each.
+    `component_id` is the smallest doc_id that links reach, the row's own included. Rows
+    with one fingerprint are one point, so copies never meet one by one. Every link
+    counts.
 
     Null and empty texts have fingerprint 0 and are linked like any other. A null doc_id
     keeps its row and counts in no minimum; a component of nulls alone has a null id.
@@ -240,17 +258,14 @@ def near_duplicates(
     """
     names = [f"fp{w}" for w in range(words)]
     rows = materialise(fingerprints(docs, shingle, words), "fingerprints")
-    distinct = rows.groupBy(*names).agg(F.min("doc_id").alias("first_id")).withColumn("node", _node("fp", words))
+    distinct = rows.groupBy(*names).agg(F.min("doc_id").alias("first_id")).withColumn("node", _node("fp", compared))
     distinct = materialise(distinct, "distinct")
     blocks = blocks or blocks_for(distinct.count(), reach)
-    links = linked(distinct, words, reach, reach if most is None else most, blocks)
-    found = connected_components(links.select(_node("a", words).alias("a"), _node("b", words).alias("b")))
-    member = found.join(distinct, "node").select("node", "component", "first_id")
-    least = member.groupBy("component").agg(F.min("first_id").alias("least_id"))
-    named = member.join(least, "component").select("node", "component", "least_id")
-    ids = distinct.join(named, "node", "left").select(
-        *names, F.coalesce("component", "node").alias("group"), F.coalesce("least_id", "first_id").alias("component_id")
-    )
+    links = linked(distinct, words, compared, reach, reach if most is None else most, blocks)
+    found = connected_components(links.select(_node("a", compared).alias("a"), _node("b", compared).alias("b")))
+    groups = distinct.join(found, "node", "left").select(*names, "first_id", F.coalesce("component", "node").alias("group"))
+    least = groups.groupBy("group").agg(F.min("first_id").alias("component_id"))
+    ids = groups.join(least, "group").select(*names, "group", "component_id")
     return rows.join(ids, names).select("doc_id", "row", *names, "group", "component_id")
 
 
