@@ -28,6 +28,9 @@ MATCH_COLUMNS = (
     "player_from_players", "player_from_market", "player_team", "market_team",
     "p_clean", "m_clean", "name_sim", "team_sim", "team_match", "final_score",
 )
+MARKET_COLUMNS = (
+    "player_from_market", "market_team", "p_clean", "m_clean", "name_sim", "team_sim", "team_match", "final_score",
+)
 _LETTERS = string.ascii_lowercase + string.digits + " "
 _PERFECT = (
     100 * config.MATCH_WEIGHTS["name"]
@@ -58,6 +61,16 @@ def block_profile(left: DataFrame, right: DataFrame) -> DataFrame:
     )
 
 
+def _market_order() -> list[Column]:
+    """Tie order among the market names for one cleaned name and team."""
+    return [
+        F.col("final_score").desc(),
+        (F.col("p_clean") == F.col("m_clean")).desc(),
+        F.col("player_from_market").asc(),
+        F.col("market_team").asc_nulls_first(),
+    ]
+
+
 def _tie_order(score: Column) -> list[Column]:
     return [
         score.desc(),
@@ -78,9 +91,18 @@ def best_match(left: DataFrame, right: DataFrame, chunk_rows: int = CHUNK_ROWS)
     left, right = materialise(left, "names"), materialise(right, "names")
     settled = _exact_hits(left, right)
     open_left = left.join(settled.select(F.col("player_from_players").alias("name")), "name", "left_anti")
-    searched = _search_blocks(open_left, right, chunk_rows)
+    # Names that clean to one text of one team are searched once, and found as the
+    # first of them in tie order.
+    wanted = open_left.select("block", "clean", "same").distinct()
+    first = F.min(F.struct("name", "team"))
+    offered = right.groupBy("block", "clean", "same").agg(first.alias("m")).select("block", "clean", "same", "m.*")
+    searched = _search_blocks(wanted, offered, chunk_rows)
+    nearest = rank_per_key(searched, ["p_clean", "same"], _market_order(), 1, "_r").drop("_r")
+    back = open_left.select(
+        F.col("name").alias("player_from_players"), F.col("team").alias("player_team"), F.col("clean").alias("p_clean"), "same"
+    )
     ranked = rank_per_key(
-        searched, ["player_from_players"], _tie_order(F.col("final_score")), 1, "_r"
+        back.join(nearest, ["p_clean", "same"]), ["player_from_players"], _tie_order(F.col("final_score")), 1, "_r"
     )
     return settled.select(*MATCH_COLUMNS).unionByName(ranked.select(*MATCH_COLUMNS))
 
@@ -115,24 +137,23 @@ def _search_blocks(left: DataFrame, right: DataFrame, chunk_rows: int) -> DataFr
         F.ceil(F.col("right_names") / chunk_rows).cast("int").alias("right_chunks"),
     )
 
-    def chunked(df: DataFrame, own: str, other: str) -> DataFrame:
+    def chunked(df: DataFrame, own: str, other: str, *carried: str) -> DataFrame:
         return (
             df.join(F.broadcast(sizes), "block")
-            .withColumn(own, F.pmod(F.xxhash64("name", "team"), F.col(f"{own}s")).cast("int"))
+            .withColumn(own, F.pmod(F.xxhash64("clean", "same"), F.col(f"{own}s")).cast("int"))
             .withColumn(other, F.explode(F.sequence(F.lit(0), F.col(f"{other}s") - 1)))
-            .select("block", "left_chunk", "right_chunk", "name", "team", "clean", "same")
+            .select("block", "left_chunk", "right_chunk", "clean", "same", *carried)
         )
 
     keys = ["block", "left_chunk", "right_chunk"]
     schema = (
-        "player_from_players string, player_from_market string, player_team string, "
-        "market_team string, p_clean string, m_clean string, name_sim int, team_sim int, "
-        "team_match int, final_score double"
+        "same string, player_from_market string, market_team string, p_clean string, m_clean string, "
+        "name_sim int, team_sim int, team_match int, final_score double"
     )
     return (
         spread_by(chunked(left, "left_chunk", "right_chunk"), *keys)
         .groupBy(*keys)
-        .cogroup(spread_by(chunked(right, "right_chunk", "left_chunk"), *keys).groupBy(*keys))
+        .cogroup(spread_by(chunked(right, "right_chunk", "left_chunk", "name", "team"), *keys).groupBy(*keys))
         .applyInPandas(_best_of_chunk, schema)
     )
 
@@ -146,13 +167,11 @@ def _best_of_chunk(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
             key=lambda r: (r[0], r[1] is not None, r[1] or ""),
         )
         search = _Search([r[2] for r in market], [r[3] for r in market])
-        for player, team, clean, same in zip(left["name"], left["team"], left["clean"], left["same"]):
+        for clean, same in zip(left["clean"], left["same"]):
             score, j, ns, ts, tm = search.best(clean, same)
             name, market_team, m_clean, _ = market[j]
-            out.append(
-                (player, name, team, market_team, clean, m_clean, ns, ts, tm, score / 100.0)
-            )
-    return pd.DataFrame(out, columns=list(MATCH_COLUMNS))
+            out.append((same, name, market_team, clean, m_clean, ns, ts, tm, score / 100.0))
+    return pd.DataFrame(out, columns=["same", *MARKET_COLUMNS])
 
 
 class _Search:
