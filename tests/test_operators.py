@@ -2,7 +2,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from touchline.operators import matching, scaling
+from touchline.operators import scaling
 from touchline.operators.events import clean_events, explode_match, is_live, replay_offsets, route_events
 from touchline.operators.matching import accept, best_match, names_with_blocks
 from touchline.operators.neighbours import similar_all, similar_to
@@ -110,9 +110,8 @@ def test_similar_to_ignores_case_and_excludes_by_name(spark):
     assert similar_to(df, "nobody").count() == 0
 
 
-@pytest.mark.parametrize("few, chunk", [(32, 2000), (0, 2000), (0, 5)])
-def test_best_match_equals_all_pairs(spark, monkeypatch, few, chunk):
-    monkeypatch.setattr(matching, "FEW", few)
+@pytest.mark.parametrize("chunk", [2000, 5])
+def test_best_match_equals_all_pairs(spark, chunk):
     rng = np.random.default_rng(3)
     stems = ["anna", "annie", "anton", "ana maria", "bob", "bo"]
     left = [(f"{rng.choice(stems)}{'' if i % 3 else i}", ["X FC", "Y United", None][i % 3]) for i in range(40)]

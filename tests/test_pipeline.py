@@ -212,6 +212,7 @@ def test_stream_stops_when_match_is_over(spark, tmp_path):
     spark.createDataFrame([(1, "6")], "id long, status string").write.json(src)
     write, wait = live.until_finished(live.insert_ignore(str(tmp_path / "out")), F.col("status"))
     stream = live.event_source(spark, "json", None, "id long, status string", src)
+    assert live.mode_for(spark.read.json(src), F.col("status")) == {"availableNow": True}
     query = live.event_sink(stream, str(tmp_path / "ck"), live.run_mode(True, 1), write)
     wait(query)
     assert not query.isActive and read_table(spark, str(tmp_path / "out")).count() == 1

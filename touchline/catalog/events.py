@@ -99,6 +99,23 @@ def _replay_offsets(spark, sf_dir):
     return rounded(timed.drop("clock"), ("delay_s", "replay_offset_s"))
 
 
+@query(
+    "replay_clock",
+    f"""SELECT id, player_id, ROUND(delay, 6) AS delay_s,
+        ROUND(SUM(delay) OVER (PARTITION BY player_id ORDER BY clock, id ROWS UNBOUNDED PRECEDING), 6) AS replay_offset_s
+    FROM (SELECT *, GREATEST(0, LEAST(COALESCE(clock - LAG(clock) OVER (PARTITION BY player_id ORDER BY clock, id), 0)
+            / {config.REPLAY_SPEED}::DOUBLE, {config.REPLAY_CAP_SECONDS}::DOUBLE)) AS delay
+        FROM (SELECT id, playerId AS player_id, COALESCE(TRY_CAST(minute AS INTEGER), 0) * 60
+            + COALESCE(TRY_CAST(second AS DOUBLE), 0) AS clock FROM ({FEED_SQL})))""",
+)
+def _replay_clock(spark, sf_dir):
+    """Replay by the match clock: minute and second of each cleaned event."""
+    events = ev.coerce_numbers(ev.rename_events(_feed(spark, sf_dir)))
+    timed = events.select("id", "player_id", ev.clock_seconds().alias("clock"))
+    offsets = ev.replay_offsets(timed, "player_id", "clock", "id")
+    return rounded(offsets.drop("clock"), ("delay_s", "replay_offset_s"))
+
+
 # --- pages and payloads -----------------------------------------------------
 
 

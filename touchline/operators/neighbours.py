@@ -23,6 +23,8 @@ from touchline.session import materialise, spread_by
 
 MAX_PIVOTS = 1024
 ROLE_SLOTS = 64
+# Rows of the bound matrix, vectors by cells, held at a time.
+BOUND_ROWS = 256
 BLOCK_ROWS = 4096
 # Slack for rounding: of an angle near 0, where arccos is least exact, and of a
 # score, whose last digits depend on the order of summation.
@@ -170,10 +172,14 @@ def _search(
 
     @F.pandas_udf("array<struct<slot: int, cell: int, chunks: int>>")
     def worth_visiting(vec: pd.Series, slot: pd.Series, floor: pd.Series) -> pd.Series:
-        bound = _cell_bounds(np.stack(vec.to_numpy()), slot.to_numpy(), pivots, cells, mismatch)
-        wanted = bound >= floor.to_numpy()[:, None]
+        vectors, slots, floors_ = np.stack(vec.to_numpy()), slot.to_numpy(), floor.to_numpy()
         triples = cells[["slot", "cell", "chunks"]].to_dict("records")
-        return pd.Series([[triples[i] for i in np.flatnonzero(row)] for row in wanted])
+        out = []
+        for at in range(0, len(vectors), BOUND_ROWS):
+            part = slice(at, at + BOUND_ROWS)
+            bound = _cell_bounds(vectors[part], slots[part], pivots, cells, mismatch)
+            out += [[triples[i] for i in np.flatnonzero(row)] for row in bound >= floors_[part, None]]
+        return pd.Series(out)
 
     visits = (
         floors.withColumn("to", F.explode(worth_visiting("vec", "slot", "floor")))

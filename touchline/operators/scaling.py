@@ -7,12 +7,15 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from touchline.functions.text import weight_group
+from touchline.session import materialise
 
 STATS_DDL = "feature string, median double, mean double, std double"
 # Quantile sketch: ranks are right within n / ACCURACY, so a bracket of twice
 # that on each side of the middle holds the exact median.
 ACCURACY = 10_000
 BRACKET = (0.5 - 2 / ACCURACY, 0.5 + 2 / ACCURACY)
+#: Ranges of equal width that a bracket is cut into.
+RANGES = 1024
 
 
 def weighted_features(
@@ -78,50 +81,63 @@ def fit(
 def exact_medians(df: DataFrame, counts: dict, brackets: dict) -> dict[str, float]:
     """The interpolated median of each column in `brackets`.
 
-    Values below the bracket are only counted and those inside it are counted
-    per distinct value, so a value shared by many rows costs one row, and the
-    running count per feature covers a 2500th of the rows at most.
+    Values below the bracket are only counted; those inside it, a 2500th of the rows or
+    so, are counted per distinct value and by ranges. Prefix sums over the ranges tell
+    which of them hold the middle, and only within those are values put in order.
     """
     if not brackets:
         return {}
     found = _select_middle(df, counts, brackets)
     missed = [f for f in brackets if found.get(f) is None]
     if missed:  # not expected; the whole column is then counted
-        wide = {f: (float("-inf"), float("inf")) for f in missed}
+        ends = df.agg(
+            *[F.min(F.col(f).cast("double")).alias(f"low_{k}") for k, f in enumerate(missed)],
+            *[F.max(F.col(f).cast("double")).alias(f"high_{k}") for k, f in enumerate(missed)],
+        ).first()
+        wide = {f: (ends[f"low_{k}"], ends[f"high_{k}"]) for k, f in enumerate(missed)}
         found.update(_select_middle(df, counts, wide))
     return found
 
 
 def _select_middle(df: DataFrame, counts: dict, brackets: dict) -> dict:
+    values = {f: F.col(f).cast("double") for f in brackets}
+    below = df.agg(*[F.count(F.when(values[f] < low, 1)).alias(f) for f, (low, _) in brackets.items()]).first()
+    # Ranks of the two middle values among those from the bracket's lower end.
+    ranks = {f: ((counts[f] + 1) // 2 - below[f], counts[f] // 2 + 1 - below[f]) for f in brackets}
     cells = []
     for f, (low, high) in brackets.items():
-        value = F.col(f).cast("double")
+        share = (values[f] - low) / (high - low) * RANGES if high > low else F.lit(0.0)
         cells.append(
             F.when(
-                value <= high,
-                F.struct(
-                    F.lit(f).alias("feature"),
-                    F.when(value >= low, value).alias("value"),
-                    F.lit((counts[f] + 1) // 2).alias("lower"),
-                    F.lit(counts[f] // 2 + 1).alias("upper"),
-                ),
+                values[f].between(low, high),
+                F.struct(F.lit(f).alias("feature"), F.floor(share).cast("int").alias("range"), values[f].alias("value")),
             )
         )
     long = df.select(F.inline(F.array_compact(F.array(*cells))))
-    tally = long.groupBy("feature", "lower", "upper", "value").agg(F.count(F.lit(1)).alias("n"))
-    running = Window.partitionBy("feature").orderBy(F.col("value").asc_nulls_first())
-    reached = F.sum("n").over(running.rowsBetween(Window.unboundedPreceding, 0))
-    below = F.count(F.when(F.col("value").isNull() & (F.col("reached") >= F.col("lower")), 1))
-    middle = tally.withColumn("reached", reached).groupBy("feature").agg(
-        below.alias("below"),
-        F.min(F.when(F.col("reached") >= F.col("lower"), F.col("value"))).alias("v1"),
-        F.min(F.when(F.col("reached") >= F.col("upper"), F.col("value"))).alias("v2"),
-    )
+    tally = materialise(long.groupBy("feature", "range", "value").agg(F.count(F.lit(1)).alias("n")), "tally")
+    # At most RANGES + 1 rows per feature.
+    ranges = tally.groupBy("feature", "range").agg(F.sum("n").alias("held"))
+    over = Window.partitionBy("feature").orderBy("range").rowsBetween(Window.unboundedPreceding, 0)
+    ranges = ranges.withColumn("start", F.sum("held").over(over) - F.col("held"))
+
+    def rank(which: int) -> Column:
+        return F.create_map(*[F.lit(x) for f, r in ranks.items() for x in (f, r[which])])[F.col("feature")]
+
+    ranges = ranges.where((F.col("start") < rank(1)) & (F.col("start") + F.col("held") >= rank(0)))
+    inside = Window.partitionBy("feature", "range").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
+    reached = F.col("start") + F.sum("n").over(inside)
+    middle = (
+        tally.join(ranges, ["feature", "range"]).withColumn("reached", reached).groupBy("feature")
+        .agg(
+            F.min(F.when(F.col("reached") >= rank(0), F.col("value"))).alias("v1"),
+            F.min(F.when(F.col("reached") >= rank(1), F.col("value"))).alias("v2"),
+        )
+    )
     rows = middle.collect()  # one row per feature
     return {
         r["feature"]: (r["v1"] + r["v2"]) / 2
         for r in rows
-        if not r["below"] and r["v1"] is not None and r["v2"] is not None
+        if ranks[r["feature"]][0] > 0 and r["v1"] is not None and r["v2"] is not None
     }
 
 

@@ -117,6 +117,12 @@ def run_mode(live: bool, seconds: int = config.POLL_SECONDS) -> dict:
     return {"processingTime": f"{seconds} seconds"} if live else {"availableNow": True}
 
 
+def mode_for(events: DataFrame, status: Column, seconds: int = config.POLL_SECONDS) -> dict:
+    """The trigger that the present status of a match asks for."""
+    live = events.agg(F.max(is_live(status)).alias("live")).first()["live"]
+    return run_mode(bool(live), seconds)
+
+
 def event_sink(
     df: DataFrame,
     checkpoint: str,
