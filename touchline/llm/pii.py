@@ -72,11 +72,11 @@ KINDS = (
     Kind("card", r"[0-9](?:[ -]?[0-9])++", "[0-9]", _card, True, "card|visa|credit|payment"),
     Kind("phone", r"\+[0-9][ ().0-9-]+[0-9]", r"\+[0-9]", _phone, False, r"phone|call|\btel|mobile"),
     Kind(
-        "iban", r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]){11,30}(?![A-Za-z0-9])",
+        "iban", r"(?<![A-Za-z0-9_])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]){11,30}(?![A-Za-z0-9_])",
         "[A-Z]{2}[0-9]{2}[ A-Z0-9]", _iban, True, "iban|account|bank", base=False,
     ),
     Kind(
-        "ssn", r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])",
+        "ssn", r"(?<![A-Za-z0-9_])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![A-Za-z0-9_])",
         "[0-9]-[0-9]{2}-[0-9]", lambda v: ~v.rlike("^(?:000|666|9)|-00-|-0000$"), False,
         r"\bssn\b|social security", base=False,
     ),

@@ -143,7 +143,44 @@ def sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query("op10_pii")
+OP10_SQL = r"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+k(kind, ord, pat, context) AS (VALUES
+  ('email', 1, '[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+', NULL),
+  ('ip', 2, '[0-9]+\.[0-9]+\.[0-9]+\.[0-9]+', NULL),
+  ('card', 3, '[0-9](?:[ -]?[0-9])+', NULL),
+  ('phone', 4, '\+[0-9][ ().0-9-]+[0-9]', NULL),
+  ('iban', 5, '\b[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]){11,30}\b', NULL),
+  ('ssn', 6, '\b[0-9]{3}-[0-9]{2}-[0-9]{4}\b', '\bssn\b|social security')),
+m AS (SELECT doc_id, t, k.*, regexp_extract_all(t, pat) AS ms, string_split_regex(t, pat) AS gs FROM d, k),
+s AS (SELECT doc_id, t, kind, ord, context, ms[i] AS v, regexp_replace(ms[i], '[ -]', '', 'g') AS p,
+    cast(list_sum(list_transform(gs[1:i], lambda x: length(x)))
+      + coalesce(list_sum(list_transform(ms[1:i - 1], lambda x: length(x))), 0) AS BIGINT) AS a
+  FROM m, unnest(range(1, len(ms) + 1)) u(i)),
+ok AS (SELECT doc_id, kind, ord, a, a + length(v) AS b FROM s WHERE CASE kind
+  WHEN 'email' THEN true
+  WHEN 'ip' THEN list_max(list_transform(string_split(v, '.'), lambda x: coalesce(try_cast(x AS HUGEINT), 999))) <= 255
+  WHEN 'card' THEN length(p) BETWEEN 13 AND 19 AND list_sum(list_transform(range(1, length(p) + 1),
+    lambda i: CASE WHEN (length(p) - i) % 2 = 0 THEN cast(p[i] AS INTEGER)
+      ELSE cast(p[i] AS INTEGER) * 2 - CASE WHEN cast(p[i] AS INTEGER) > 4 THEN 9 ELSE 0 END END)) % 10 = 0
+  WHEN 'phone' THEN length(regexp_replace(v, '[^0-9]', '', 'g')) BETWEEN 9 AND 15
+  WHEN 'iban' THEN length(p) BETWEEN 15 AND 34 AND list_reduce(list_prepend(0::BIGINT,
+      list_transform(range(1, length(p) + 1), lambda i: CASE WHEN ascii((p[5:] || p[:4])[i]) < 58
+        THEN ascii((p[5:] || p[:4])[i]) - 48 ELSE ascii((p[5:] || p[:4])[i]) - 55 END::BIGINT)),
+    lambda acc, x: CASE WHEN x < 10 THEN (acc * 10 + x) % 97 ELSE (acc * 100 + x) % 97 END) = 1
+  ELSE NOT regexp_matches(v, '^(?:000|666|9)|-00-|-0000$')
+    AND regexp_matches(lower(substr(t, greatest(a - 40, 0) + 1, a + length(v) - greatest(a - 40, 0) + 40)), context) END),
+l AS (SELECT doc_id, count(*) FILTER (kind = 'email') AS n_email, count(*) FILTER (kind = 'ip') AS n_ip,
+    count(*) FILTER (kind = 'card') AS n_card, count(*) FILTER (kind = 'phone') AS n_phone,
+    string_agg(kind || ':' || a || ':' || b, ',' ORDER BY ord, a) FILTER (ord <= 4) AS base,
+    string_agg(kind || ':' || a || ':' || b, ',' ORDER BY ord, a) AS spans FROM ok GROUP BY doc_id)
+SELECT doc_id, coalesce(n_email, 0) AS n_email, coalesce(n_ip, 0) AS n_ip, coalesce(n_card, 0) AS n_card,
+  coalesce(n_phone, 0) AS n_phone, sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM d LEFT JOIN l USING (doc_id)
+"""
+
+
+@query("op10_pii", OP10_SQL)
 def pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     from touchline.llm.pii import KINDS, count_of, find_personal_data, listed
 
