@@ -100,7 +100,7 @@ def _shared(text: np.ndarray, a: np.ndarray, b: np.ndarray, depth: int) -> np.nd
     return out
 
 
-def _scan(text, kind, seeds, seeds_shared, chars, held, depth):
+def _scan(text, seeds, seeds_shared, chars, held, depth):
     """Order of all suffixes but the last, from the order of the local minima: lists per
     character of (rising part, falling part), each with prefix values."""
     n = len(text)
@@ -179,7 +179,7 @@ def sort_suffixes(text: np.ndarray, depth: int, held: int = HELD) -> tuple[np.nd
     minima = np.flatnonzero(falls[1:] & ~falls[:-1]) + 1
     seeds = minima[np.argsort(text[minima], kind="stable")]
     # First induction sorts the substrings between minima; equal ones get one name.
-    rising, falling = _scan(text, falls, seeds, np.zeros(len(seeds), np.int64), chars, held, depth)
+    rising, falling = _scan(text, seeds, np.zeros(len(seeds), np.int64), chars, held, depth)
     is_minimum = np.zeros(n, bool)
     is_minimum[minima] = True
     order = np.concatenate([d[0][::-1] for d in falling])
@@ -207,7 +207,7 @@ def sort_suffixes(text: np.ndarray, depth: int, held: int = HELD) -> tuple[np.nd
     seeds = minima[np.argsort(name, kind="stable")]
     shared = np.zeros(len(seeds), np.int64)
     shared[1:] = _shared(text, seeds[:-1], seeds[1:], depth)
-    rising, falling = _scan(text, falls, seeds, shared, chars, held, depth)
+    rising, falling = _scan(text, seeds, shared, chars, held, depth)
     return _in_order(text, rising, falling, depth)
 
 

@@ -6,6 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from touchline.llm.common import scratch_dir, table
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
@@ -20,9 +22,6 @@ def query(name: str, sql: str | None = None):
     return register
 
 
-from touchline.llm.common import scratch_dir, table  # noqa: E402
-
-
 def vocabulary(name: str) -> str:
     import public_tokenizers
 
