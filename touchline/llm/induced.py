@@ -31,8 +31,8 @@ class _Queues:
         self.files = 0
 
     def put(self, char: int, at: np.ndarray, shared: np.ndarray) -> None:
-        self.room -= len(at)
-        if self.room >= 0:
+        if self.room >= len(at):
+            self.room -= len(at)
             self.parts[char].append((at, shared))
             return
         if self.folder is None:
