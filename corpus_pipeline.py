@@ -14,11 +14,12 @@ from touchline.llm.packing import pack_documents
 from touchline.llm.pii import find_personal_data, redacted
 from touchline.llm.quality import accepted
 from touchline.llm.queries import vocabulary
-from touchline.llm.simhash import first_of_groups
+from touchline.llm.verified import first_of_alike
 
-#: Near duplicates: words of a shingle; 64-bit words of a fingerprint, each with a grid
-#: for every fourth of it; and bits of the first two that may differ, a fifth.
-NEAR = {"shingle": 5, "words": 12, "reach": 3, "blocks": 4, "compared": 2, "most": 25}
+#: Near duplicates: Jaccard similarity of a link; words of a shingle; 64-bit words of a
+#: fingerprint, each with a grid for every fourth of it; and bits of the first three that
+#: may differ in a candidate, four standard deviations over the mean at that similarity.
+NEAR = {"alike": 0.8, "shingle": 5, "words": 24, "reach": 3, "blocks": 4, "compared": 3, "most": 50}
 
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -29,7 +30,7 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 def keep_first_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates."""
     table(spark, sf_dir, "documents")
-    return first_of_groups(docs, **NEAR)
+    return first_of_alike(docs, **NEAR)
 
 
 def keep_uncontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

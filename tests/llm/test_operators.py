@@ -317,6 +317,37 @@ def test_simhash_deals_large_cells_in_chunks(spark, monkeypatch):
     assert {tuple(r) for r in simhash.near_duplicates(table).select("doc_id", "component_id").collect()} == whole
 
 
+def test_near_duplicates_are_verified(spark, none, monkeypatch):
+    from touchline.llm import verified
+
+    base = [f"w{i}" for i in range(200)]
+    changed = [(100 + k, " ".join(f"x{k}" if i in range(0, 6 * k, 6) else w for i, w in enumerate(base))) for k in range(12)]
+    # One line many times over: nearly all majority bits agree, the sets do not.
+    line = "one line that comes again and again "
+    repeated = [(300 + k, line * 200 + " ".join(f"y{k}-{i}" for i in range(30))) for k in range(3)]
+    every = TEXTS + changed + repeated + [(400, "just a few"), (401, "JUST a\tfew"), (402, "just a  few more")]
+
+    def shingles(text):
+        words = re.findall("[^\x20\x09-\x0d]+", fold(text))
+        return frozenset(" ".join(words[i : i + 5]) for i in range(max(1, len(words) - 4))) if words else frozenset()
+
+    sets = [shingles(t) for _, t in every]
+    owner = list(range(len(every)))
+    for a in range(len(every)):
+        for b in range(a):
+            if sets[a] == sets[b] or len(sets[a] & sets[b]) / len(sets[a] | sets[b]) >= corpus_pipeline.NEAR["alike"]:
+                old, new = owner[a], owner[b]
+                owner = [new if o == old else o for o in owner]
+    least = {o: min((every[k][0] for k in range(len(every)) if owner[k] == o and every[k][0] is not None), default=None) for o in owner}
+    table = spark.createDataFrame([(i, t, "s") for i, t in every], "doc_id long, text string, size string")
+    for size in (verified.CHUNK_SHINGLES, 300):
+        monkeypatch.setattr(verified, "CHUNK_SHINGLES", size)
+        kept = verified.first_of_alike(table, **corpus_pipeline.NEAR)
+        assert kept.columns == table.columns
+        assert sorted(map(str, (r["doc_id"] for r in kept.collect()))) == sorted(map(str, least.values()))
+    assert verified.first_of_alike(none, **corpus_pipeline.NEAR).count() == 0
+
+
 def test_packing(docs, none):
     from touchline.llm.packing import best_fit, certificate, lower_bounds, pack_documents
 

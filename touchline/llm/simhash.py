@@ -42,9 +42,15 @@ FOLD = bytes(32 if c in (9, 10, 11, 12, 13) else c + 32 if 65 <= c <= 90 else c
 def fingerprint(text: bytes | None, shingle: int, words: int = 1) -> tuple[int, ...]:
     """64 majority bits over the XXH64 of all shingles, as a signed number, and over as
     many further hashes, mixed from it, as `words` asks for."""
+    hashes = shingle_hashes(text, shingle)
+    return _words(hashes, words) if len(hashes) else (0,) * words
+
+
+def shingle_hashes(text: bytes | None, shingle: int) -> np.ndarray:
+    """XXH64 of every shingle in order; words fewer than a shingle are one, no words none."""
     found = text.translate(FOLD).split() if text else []
     if not found:
-        return (0,) * words
+        return np.zeros(0, np.uint64)
     line = b" ".join(found)
     if len(found) <= shingle:
         shingles = [line]
@@ -54,7 +60,10 @@ def fingerprint(text: bytes | None, shingle: int, words: int = 1) -> tuple[int,
         starts = (ends - lengths)[: len(found) - shingle + 1].tolist()
         shingles = [line[a:b] for a, b in zip(starts, ends[shingle - 1 :].tolist())]
     digest = xxhash.xxh64_intdigest
-    hashes = np.array([digest(s, SEED) for s in shingles], np.uint64)
+    return np.array([digest(s, SEED) for s in shingles], np.uint64)
+
+
+def _words(hashes: np.ndarray, words: int) -> tuple[int, ...]:
     return tuple(_majority(mixed(hashes, w) if w else hashes) for w in range(words))
 
 
@@ -275,15 +284,20 @@ def first_of_groups(docs: DataFrame, **settings) -> DataFrame:
     rows alike one stays; a null doc_id stays only in a group of nulls alone."""
     found = near_duplicates(docs, **settings)
     least = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row")).alias("first")
+    return rows_of(docs, found.groupBy("group").agg(least)).dropDuplicates(KEYS).drop(*KEYS)
+
+
+KEYS = ["_key_id", "_key_row"]
+
+
+def rows_of(docs: DataFrame, chosen: DataFrame) -> DataFrame:
+    """The rows of `docs`, and `KEYS`, that the column `first` of `chosen` names."""
     none = F.lit(-(1 << 63))
-    chosen = found.groupBy("group").agg(least).select(
-        F.coalesce("first.doc_id", none).alias("_key_id"), F.col("first.row").alias("_key_row")
-    )
-    keys = ["_key_id", "_key_row"]
+    keys = chosen.select(F.coalesce("first.doc_id", none).alias(KEYS[0]), F.col("first.row").alias(KEYS[1]))
     rows = docs.select(
-        *[f"`{c}`" for c in docs.columns], F.coalesce(F.col("doc_id").cast("long"), none).alias(keys[0]), row_key().alias(keys[1])
+        *[f"`{c}`" for c in docs.columns], F.coalesce(F.col("doc_id").cast("long"), none).alias(KEYS[0]), row_key().alias(KEYS[1])
     )
-    return rows.join(chosen, keys).dropDuplicates(keys).select(*[f"`{c}`" for c in docs.columns])
+    return rows.join(keys, KEYS).select(*[f"`{c}`" for c in docs.columns], *KEYS)
 
 
 def _node(prefix: str, words: int) -> Column:

@@ -1,0 +1,167 @@
+"""Near duplicates by exact Jaccard similarity of shingle sets; SimHash proposes.
+
+A document is its set of hashed shingles; documents of one set are one point. SimHash
+fingerprints of the sets, met in grids, give candidate links and so candidate groups.
+No candidate counts as such: the sets of each group are brought together and all their
+pairs are compared, large groups in pairs of chunks over many tasks. Links of at least
+the stated similarity make the final groups.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import xxhash
+from pyspark.sql import DataFrame, functions as F
+
+from touchline.llm.common import each_batch, materialise, row_key
+from touchline.llm.components import connected_components
+from touchline.llm.simhash import KEYS, _node, _words, hex_digits, linked, rows_of, shingle_hashes
+
+#: Shingles of the sets that a chunk of a candidate group holds; two chunks meet in a task.
+CHUNK_SHINGLES = 2_000_000
+
+
+def _digest(hashes: np.ndarray) -> tuple[int, int]:
+    """128 bits of a sorted set, as two signed numbers."""
+    a, b = np.frombuffer(xxhash.xxh3_128_digest(hashes.tobytes()), "<i8").tolist()
+    return a, b
+
+
+def prints(docs: DataFrame, shingle: int, words: int) -> DataFrame:
+    """(doc_id, row, n, s0, s1, fp0, ..) for every row: size and digest of the shingle
+    set, and its fingerprint, in which each shingle counts once."""
+    names = ["n", "s0", "s1", *[f"fp{w}" for w in range(words)]]
+
+    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+        found = []
+        for text in batch.column("text").cast(pa.binary()).to_pylist():
+            own = np.unique(shingle_hashes(text, shingle))
+            found.append((len(own), *_digest(own), *(_words(own, words) if len(own) else (0,) * words)))
+        values = np.array(found, np.int64)
+        columns = [batch.column("doc_id"), batch.column("row"), *[pa.array(values[:, k].copy()) for k in range(len(names))]]
+        return pa.RecordBatch.from_arrays(columns, ["doc_id", "row", *names])
+
+    plain = docs.select(
+        F.col("doc_id").cast("long").alias("doc_id"), row_key().alias("row"), F.col("text").cast("string").alias("text")
+    )
+    return plain.mapInArrow(each_batch(run), "doc_id long, row long, " + ", ".join(f"{n} long" for n in names))
+
+
+def alike_pairs(sets: list[np.ndarray], alike: float) -> list[tuple[int, int]]:
+    """Links, as positions in `sets` of distinct values, of an exact Jaccard similarity
+    of at least `alike`, that join all that are joined at all by such links."""
+    links: list[tuple[int, int]] = []
+    n = np.array([len(x) for x in sets], np.int64)
+    rest = np.flatnonzero(n)
+    front: list[int] = []
+    while len(rest):
+        # An index of the values of those not reached yet, anew whenever they have halved.
+        values = np.concatenate([sets[i] for i in rest])
+        order = np.argsort(values, kind="stable")
+        values, owner = values[order], np.repeat(np.arange(len(rest)), n[rest])[order]
+        left, size, indexed = np.ones(len(rest), bool), len(rest), len(rest)
+        if not front:
+            front, left[0], size = [int(rest[0])], False, size - 1
+        while size * 2 > indexed:
+            if not front:
+                k = int(np.argmax(left))
+                front, left[k], size = [int(rest[k])], False, size - 1
+                continue
+            at = front.pop()
+            a, b = np.searchsorted(values, sets[at]), np.searchsorted(values, sets[at], side="right")
+            some = b > a
+            a, length = a[some], (b - a)[some]
+            where = np.repeat(a - np.r_[0, np.cumsum(length)[:-1]], length) + np.arange(length.sum()) if some.any() else a
+            shared = np.bincount(owner[where], minlength=indexed)
+            near = np.flatnonzero(left & (shared / (n[at] + n[rest] - shared) >= alike))
+            links += [(at, int(rest[k])) for k in near]
+            front += rest[near].tolist()
+            left[near] = False
+            size -= len(near)
+        rest = rest[left]
+    return links
+
+
+def _verify(alike: float):
+    """Links within each cell; rows come sorted by cell."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cell, nodes, sets = None, [], []
+
+        def solve() -> pa.RecordBatch:
+            found = alike_pairs(sets, alike)
+            sides = [pa.array([nodes[x[k]] for x in found], pa.string()) for k in (0, 1)]
+            return pa.RecordBatch.from_arrays(sides, ["a", "b"])
+
+        for batch in batches:
+            columns = [batch.column(c).to_pylist() for c in ("group", "low", "high", "node")]
+            for *key, node, data in zip(*columns, batch.column("shingles")):
+                if key != cell:
+                    if len(nodes) > 1:
+                        yield solve()
+                    cell, nodes, sets = key, [], []
+                nodes.append(node)
+                sets.append(np.frombuffer(data.as_py(), np.uint64))
+        if len(nodes) > 1:
+            yield solve()
+
+    return run
+
+
+def alike_links(docs: DataFrame, nodes: DataFrame, shingle: int, alike: float) -> DataFrame:
+    """Links (a, b) between the sets of each candidate group; `nodes` has (group, node,
+    n, first), where `first` leads to a row of `docs` with that set."""
+    totals = nodes.groupBy("group").agg(F.count("*").alias("members"), F.sum("n").alias("total"))
+    chunks = F.ceil(F.col("total") / CHUNK_SHINGLES).cast("int")
+    crowded = totals.where("members > 1").select("group", F.greatest(chunks, F.lit(1)).alias("k"))
+    members = materialise(nodes.join(crowded, "group").select("group", "node", "first", "k"), "members")
+    keyed = members.select(
+        "group", "node", "k",
+        F.coalesce("first.doc_id", F.lit(-(1 << 63))).alias(KEYS[0]), F.col("first.row").alias(KEYS[1]),
+    )
+    texts = rows_of(docs.select("doc_id", "text"), members.select("first")).select(*KEYS, F.col("text").cast("string").alias("text"))
+
+    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+        found = [np.unique(shingle_hashes(t, shingle)).tobytes() for t in batch.column("text").cast(pa.binary()).to_pylist()]
+        return pa.RecordBatch.from_arrays([*[batch.column(k) for k in KEYS], pa.array(found, pa.binary())], [*KEYS, "shingles"])
+
+    sets = texts.mapInArrow(each_batch(run), f"{KEYS[0]} long, {KEYS[1]} long, shingles binary").dropDuplicates(KEYS)
+    cells = (
+        keyed.join(sets, KEYS)
+        .withColumn("own", F.pmod(F.xxhash64("node"), F.col("k")).cast("int"))
+        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("k") - 1)))
+        .select("group", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), "node", "shingles")
+    )
+    keys = ["group", "low", "high"]
+    return cells.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(_verify(alike), "a string, b string")
+
+
+def first_of_alike(
+    docs: DataFrame, alike: float, shingle: int, words: int, reach: int, blocks: int, compared: int, most: int
+) -> DataFrame:
+    """The rows of `docs`, all columns, one of each group: the smallest doc_id.
+
+    Groups are joined by links of a Jaccard similarity of at least `alike` between sets
+    of shingles, and by equal sets. Candidates share a cell of any word's grids and
+    differ in `most` or fewer bits of the `compared` first words (see simhash); a pair
+    is compared if candidates join it, directly or through others. Texts without words
+    are one group. Of rows alike one stays; a null doc_id stays only in a group of nulls.
+    """
+    names = [f"fp{w}" for w in range(words)]
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row")).alias("first")
+    points = (
+        prints(docs, shingle, words).groupBy("s0", "s1").agg(F.min("n").alias("n"), first, *[F.min(c).alias(c) for c in names])
+        .select(F.concat(hex_digits(F.col("s0")), hex_digits(F.col("s1"))).alias("node"), "n", "first", *names)
+    )
+    points = materialise(points.withColumn("point", _node("fp", compared)), "sets")
+    links = linked(points.select(*names).distinct(), words, compared, reach, most, blocks)
+    met = connected_components(links.select(_node("a", compared).alias("a"), _node("b", compared).alias("b")))
+    met = met.select(F.col("node").alias("point"), "component")
+    candidates = points.select("node", "n", "first", "point").join(met, "point", "left")
+    candidates = candidates.select("node", "n", "first", F.coalesce("component", "point").alias("group"))
+    groups = connected_components(alike_links(docs, candidates, shingle, alike))
+    of_group = points.select("node", "first").join(groups, "node", "left").groupBy(F.coalesce("component", "node").alias("group"))
+    return rows_of(docs, of_group.agg(F.min("first").alias("first"))).dropDuplicates(KEYS).drop(*KEYS)
