@@ -1,9 +1,11 @@
 """Document fingerprints from improbable features.
 
-A feature is a window of 64 bytes. Its entropy places it in one of a thousand bins, and
-the rarer a bin is in the whole corpus, the better its rank. Features that are best
-among their neighbours often enough are inserted into a chain of Bloom filters. Two
-chains are compared by the bits that their filters share, less what chance gives.
+A feature is a window of 64 bytes, or a narrow one of 8, of which a short text holds
+enough; every text has both, whatever its size. A window's entropy places it in one of a
+thousand bins, and the rarer a bin is among the windows of its width in the whole corpus,
+the better its rank. Features that are best among their neighbours often enough are
+inserted into a chain of Bloom filters for each width. Two texts are compared by the bits
+that filters of one width share, less what chance gives.
 """
 
 from __future__ import annotations
@@ -23,38 +25,42 @@ WINDOW = 64
 BINS = 1000
 #: A feature is taken if it is best in so many of the runs of `WINDOW` features it is in.
 POPULAR = 16
+#: Narrow features, their runs and how many of these a feature must be best in.
+NARROW, NARROW_RUN, NARROW_POPULAR = 8, 16, 4
 FILTER_BYTES = 256
 FILTER_FEATURES = 160
 HASHES = 5
 #: Shared bits up to this part of the way from chance to all count as nothing.
 CHANCE = 0.3
-#: Texts of fewer bytes hold too few wide windows: all their narrow ones are features
-#: instead. Up to twice as many bytes both are, each in filters of their own, so that
-#: texts on either side of a bound can be compared.
-SHORT, NARROW = 512, 8
 #: Bytes of text worked on at once; keeps the arrays in the processor's cache.
 BLOCK = 1 << 18
 
 _UNIT = 1 << 20
-_PART = np.array([0] + [round(-c / WINDOW * np.log2(c / WINDOW) * _UNIT) for c in range(1, WINDOW + 1)], np.int64)
-_GAIN = np.diff(_PART)  # entropy gained by the (c+1)th of a byte value
 
 
-def entropy_bins(data: np.ndarray) -> np.ndarray:
+def _parts(width: int) -> np.ndarray:
+    return np.array([0] + [round(-c / width * np.log2(c / width) * _UNIT) for c in range(1, width + 1)], np.int64)
+
+
+_PART = {width: _parts(width) for width in (WINDOW, NARROW)}
+_GAIN = {width: np.diff(part) for width, part in _PART.items()}  # entropy gained by the (c+1)th of a byte value
+
+
+def entropy_bins(data: np.ndarray, width: int = WINDOW) -> np.ndarray:
     """Bin of the entropy of every window of `data`; exact integers, so that a window's
     bin does not depend on where it lies."""
     n = len(data)
-    if n < WINDOW:
+    if n < width:
         return np.zeros(0, np.int32)
     before, after = np.zeros(n, np.uint8), np.zeros(n, np.uint8)
-    for d in range(1, WINDOW):
+    for d in range(1, width):
         same = (data[d:] == data[:-d]).view(np.uint8)
         before[d:] += same
         after[:-d] += same
-    first = _PART[np.bincount(data[:WINDOW], minlength=256)].sum()
-    steps = _GAIN[before[WINDOW:]] - _GAIN[after[: n - WINDOW]]
+    first = _PART[width][np.bincount(data[:width], minlength=256)].sum()
+    steps = _GAIN[width][before[width:]] - _GAIN[width][after[: n - width]]
     entropy = np.concatenate([[first], first + np.cumsum(steps)])
-    return np.minimum(entropy * BINS // (6 * _UNIT), BINS).astype(np.int32)
+    return np.minimum(entropy * BINS // ((width.bit_length() - 1) * _UNIT), BINS).astype(np.int32)
 
 
 def _blocks(texts: Sequence[bytes]) -> Iterator[tuple[int, int]]:
@@ -76,81 +82,101 @@ def _inside(lengths: np.ndarray, total: int, width: int) -> np.ndarray:
 
 
 def histogram(texts: Sequence[bytes]) -> np.ndarray:
-    counts = np.zeros(BINS + 1, np.int64)
+    """Windows in each bin, wide ones and then narrow ones."""
+    counts = np.zeros((2, BINS + 1), np.int64)
     for a, b in _blocks(texts):
         lengths = np.array([len(t) for t in texts[a:b]])
         data = np.frombuffer(b"".join(texts[a:b]), np.uint8)
-        bins = entropy_bins(data)
-        counts += np.bincount(bins[_inside(lengths, len(data), WINDOW)[: len(bins)]], minlength=BINS + 1)
+        for k, width in enumerate((WINDOW, NARROW)):
+            bins = entropy_bins(data, width)
+            counts[k] += np.bincount(bins[_inside(lengths, len(data), width)[: len(bins)]], minlength=BINS + 1)
     return counts
 
 
-def _popular(bins: np.ndarray, rank: np.ndarray, lengths: np.ndarray, total: int) -> list[np.ndarray]:
-    """Start of the chosen windows of each text, in order."""
+def _popular(
+    order: np.ndarray, lengths: np.ndarray, total: int, width: int, run: int, popular: int
+) -> list[np.ndarray]:
+    """Start of the chosen windows of each text; the least of `order`, a number under
+    2^22 for each window, is the best, and of equals the first."""
     far = np.iinfo(np.int64).max
     value = np.full(total, far)
-    usable = _inside(lengths, total, WINDOW)
-    value[: len(bins)] = (rank[bins].astype(np.int64) << 40) | np.arange(len(bins))
+    usable = _inside(lengths, total, width)
+    value[: len(order)] = (order << 40) | np.arange(len(order))
     value[~usable] = far
     best = value.copy()
     step = 1
-    while step < WINDOW:  # least of 2, 4, .. 64 from each position
+    while step < run:  # least of 2, 4, .. `run` from each position
         best[:-step] = np.minimum(best[:-step], best[step:])
         step *= 2
-    whole = _inside(lengths, total, 2 * WINDOW - 1)
+    whole = _inside(lengths, total, width + run - 1)
     at = best[whole] & ((1 << 40) - 1)
     popularity = np.bincount(at, minlength=total)
     starts = np.r_[0, np.cumsum(lengths)]
     most = np.maximum.reduceat(np.r_[popularity, 0], starts[:-1]) if total else np.zeros(len(lengths), int)
-    least = np.repeat(np.minimum(most, POPULAR), lengths)
+    least = np.repeat(np.minimum(most, popular), lengths)
     chosen = np.flatnonzero((popularity >= np.maximum(least, 1)) & usable)
     cuts = np.searchsorted(chosen, starts)
     out = []
     for k, n in enumerate(lengths):
         own = chosen[cuts[k] : cuts[k + 1]] - starts[k]
-        if not len(own) and n >= WINDOW:  # too short for a full run: its best feature
-            own = np.array([int(np.argmin(value[starts[k] : starts[k] + n - WINDOW + 1]))])
+        if not len(own) and n >= width:  # too short for a full run: its best feature
+            own = np.array([int(np.argmin(value[starts[k] : starts[k] + n - width + 1]))])
         out.append(own)
     return out
 
 
-def chains(texts: Sequence[bytes], rank: np.ndarray) -> list[np.ndarray]:
-    """Bloom filters of each text, one row each; an empty text has none."""
+def _narrow_hashes(data: np.ndarray) -> np.ndarray:
+    """A hash of every narrow window: its bytes as one number, mixed through."""
+    if len(data) < NARROW:
+        return np.zeros(0, np.uint64)
+    h = np.lib.stride_tricks.sliding_window_view(data, NARROW).copy().view("<u8").ravel()
+    h = (h ^ (h >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    h = (h ^ (h >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return h ^ (h >> np.uint64(31))
+
+
+def _filters(hashes: np.ndarray) -> np.ndarray:
+    """Bloom filters of so many features, `FILTER_FEATURES` to a row."""
+    row = np.arange(len(hashes)) // FILTER_FEATURES
+    h = hashes[:, None] >> np.arange(0, 11 * HASHES, 11, dtype=np.uint64)
+    bit = (h & np.uint64(FILTER_BYTES * 8 - 1)).astype(np.int64)
+    bits = np.zeros((-(-len(hashes) // FILTER_FEATURES), FILTER_BYTES * 8), np.uint8)
+    bits[np.repeat(row, HASHES), bit.ravel()] = 1
+    return np.packbits(bits, axis=1, bitorder="little")
+
+
+Chain = tuple[np.ndarray, np.ndarray]  # wide and narrow filters, one row each
+
+
+def chains(texts: Sequence[bytes], rank: np.ndarray) -> list[Chain]:
+    """Bloom filters of each text; an empty text has none, and one of fewer bytes than a
+    narrow window has itself as its only feature."""
     out = []
+    digest = xxhash.xxh3_64_intdigest
     for a, b in _blocks(texts):
         own = texts[a:b]
         lengths = np.array([len(t) for t in own])
-        joined = b"".join(own)
-        data = np.frombuffer(joined, np.uint8)
-        found = _popular(entropy_bins(data), rank, lengths, len(data)) if len(data) else [np.zeros(0, int)] * len(own)
-        for text, at in zip(own, found):
-            if not text:
-                out.append(np.zeros((0, FILTER_BYTES), np.uint8))
-                continue
-            digest = xxhash.xxh3_64_intdigest
-            hashes: list[int] = []
-            row = np.zeros(0, np.int64)
-            if len(text) < 2 * SHORT:
-                hashes = [digest(text[i : i + NARROW]) for i in range(max(1, len(text) - NARROW + 1))]
-                row = np.arange(len(hashes)) // FILTER_FEATURES
-            if len(text) >= SHORT:
-                own_rows = int(row[-1]) + 1 if len(row) else 0
-                hashes += [digest(text[i : i + WINDOW]) for i in at.tolist()]
-                row = np.r_[row, own_rows + np.arange(len(at)) // FILTER_FEATURES]
-            h = np.array(hashes, np.uint64)[:, None] >> np.arange(0, 11 * HASHES, 11, dtype=np.uint64)
-            bit = (h & np.uint64(FILTER_BYTES * 8 - 1)).astype(np.int64)
-            bits = np.zeros((int(row[-1]) + 1, FILTER_BYTES * 8), np.uint8)
-            bits[np.repeat(row, HASHES), bit.ravel()] = 1
-            out.append(np.packbits(bits, axis=1, bitorder="little"))
+        data = np.frombuffer(b"".join(own), np.uint8)
+        total = len(data)
+        wide_order = rank[0][entropy_bins(data)].astype(np.int64)
+        wide = _popular(wide_order, lengths, total, WINDOW, WINDOW, POPULAR)
+        # Narrow windows have few bins; within one their hash decides, wherever they lie.
+        hashes = _narrow_hashes(data)
+        narrow_order = (rank[1][entropy_bins(data, NARROW)].astype(np.int64) << 12) | (hashes >> np.uint64(52)).astype(np.int64)
+        narrow = _popular(narrow_order, lengths, total, NARROW, NARROW_RUN, NARROW_POPULAR)
+        starts = np.cumsum(lengths) - lengths
+        for text, start, at, near in zip(own, starts, wide, narrow):
+            few = np.array([digest(text)] if 0 < len(text) < NARROW else [], np.uint64)
+            out.append((
+                _filters(np.array([digest(text[i : i + WINDOW]) for i in at.tolist()], np.uint64)),
+                _filters(few if len(text) < NARROW else hashes[start + near]),
+            ))
     return out
 
 
-def likeness(a: np.ndarray, b: np.ndarray) -> float:
-    """0 to 1: mean over the shorter chain's filters of the best match in the other."""
-    if not len(a) or not len(b):
-        return float(len(a) == len(b))
-    if a.shape == b.shape and (a == b).all():
-        return 1.0
+def _shares(a: np.ndarray, b: np.ndarray) -> tuple[float, float]:
+    """Sum over the shorter chain's filters of the best match in the other, each by the
+    bits it holds, and the sum of these bits."""
     if len(a) > len(b):
         a, b = b, a
     a, b = a.view(np.uint64), b.view(np.uint64)
@@ -160,34 +186,46 @@ def likeness(a: np.ndarray, b: np.ndarray) -> float:
         shared = np.bitwise_count(b & row).sum(axis=1)
         most, chance = np.minimum(ones, ones_b), ones * ones_b / (FILTER_BYTES * 8)
         least = chance + CHANCE * (most - chance)
-        total += float(np.clip((shared - least) / np.maximum(most - least, 1e-9), 0, 1).max())
-    return total / len(a)
+        total += ones * float(np.clip((shared - least) / np.maximum(most - least, 1e-9), 0, 1).max())
+    return total, float(ones_a.sum())
+
+
+def likeness(a: Chain, b: Chain) -> float:
+    """0 to 1: mean over the shorter chain's filters, by the bits they hold, of the best
+    match among the other's filters of that width; widths that one lacks do not count."""
+    if all(x.shape == y.shape and (x == y).all() for x, y in zip(a, b)):
+        return 1.0
+    found = [_shares(x, y) for x, y in zip(a, b) if len(x) and len(y)]
+    return sum(x for x, _ in found) / sum(n for _, n in found) if found else 0.0
 
 
-def written(chain: np.ndarray) -> str:
-    return base64.b64encode(chain.tobytes()).decode("ascii")
+def written(chain: Chain) -> str:
+    """Both chains in base64, a colon between; nothing for an empty text."""
+    return ":".join(base64.b64encode(x.tobytes()).decode("ascii") for x in chain) if any(map(len, chain)) else ""
 
 
-def read(fingerprint: str) -> np.ndarray:
-    return np.frombuffer(base64.b64decode(fingerprint), np.uint8).reshape(-1, FILTER_BYTES)
+def read(fingerprint: str) -> Chain:
+    wide, _, narrow = fingerprint.partition(":")
+    return tuple(np.frombuffer(base64.b64decode(x), np.uint8).reshape(-1, FILTER_BYTES) for x in (wide, narrow))
 
 
 def rarity(docs: DataFrame) -> np.ndarray:
-    """Rank of each entropy bin over all windows of the corpus: 0 is the rarest. Only
-    the thousand sums reach the driver."""
+    """Rank of each entropy bin over all windows of the corpus, for wide and for narrow
+    ones: 0 is the rarest. Only the two thousand sums reach the driver."""
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        counts = histogram([t or b"" for t in batch.column("text").cast(pa.binary()).to_pylist()])
+        counts = histogram([t or b"" for t in batch.column("text").cast(pa.binary()).to_pylist()]).ravel()
         bins = np.flatnonzero(counts)
         return pa.RecordBatch.from_arrays([pa.array(bins.astype(np.int32)), pa.array(counts[bins])], ["bin", "n"])
 
     plain = docs.select(F.col("text").cast("string").alias("text"))
     sums = plain.mapInArrow(each_batch(run), "bin int, n long").groupBy("bin").agg(F.sum("n").alias("n")).collect()
-    counts = np.zeros(BINS + 1, np.int64)
+    counts = np.zeros(2 * (BINS + 1), np.int64)
     for r in sums:
         counts[r["bin"]] = r["n"]
-    rank = np.empty(BINS + 1, np.int32)
-    rank[np.argsort(counts, kind="stable")] = np.arange(BINS + 1)
+    rank = np.empty((2, BINS + 1), np.int32)
+    for own, found in zip(rank, counts.reshape(2, -1)):
+        own[np.argsort(found, kind="stable")] = np.arange(BINS + 1)
     return rank
 
 
