@@ -469,6 +469,18 @@ def test_digest_compares_texts_of_any_two_sizes():
         assert digest.likeness(digest.read(digest.written(own)), own) == 1.0
 
 
+def test_every_long_line_of_a_text_is_judged():
+    from touchline.llm.quality import LETTER, NAMES, UPPER, features
+
+    shout = "THIS WHOLE LINE IS SHOUTED AT YOU"
+    texts = [("plain words of a long text\n" * 400 + shout + "\n" + "more of it in small letters\n" * 400), shout, "Few Words, a|b here!\n\nanother line of Some Length #1", "AB\nC"]
+    for text in texts:
+        lines = [x for x in text.encode().split(b"\n") if len(x) > 20]
+        got = dict(zip(NAMES, features(text.encode())))
+        assert got["worst_upper"] == max((sum(UPPER[c] for c in x) / max(1, sum(LETTER[c] for c in x)) for x in lines), default=0.0)
+        assert got["worst_marks"] == max((sum(c in b"!?|#$%&*@^~<>{}[]\\=+_/" for c in x) / len(x) for x in lines), default=0.0)
+
+
 def luhn(digits):
     twice = [int(c) * (1 + k % 2) for k, c in enumerate(reversed(digits))]
     return sum(x - 9 * (x > 9) for x in twice) % 10 == 0
