@@ -522,6 +522,18 @@ def test_personal_data(spark, docs, none):
     assert find_personal_data(none).count() == 0
 
 
+def test_an_iban_ends_where_its_country_says(spark):
+    from touchline.llm.pii import find_personal_data
+
+    numbers = ["GB82 WEST 1234 5698 7654 32", "DE89370400440532013000", "NO93 8601 1117 947"]
+    texts = [f"IBAN {n}{tail}" for n in numbers for tail in ("", " BIC NWBKGB2L", " 12 and", " " + numbers[1], ".")]
+    table = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for r in find_personal_data(table).collect():
+        ibans = [r["text"][s["start"] : s["end"]] for s in r["pii"] if s["kind"] == "iban"]
+        number = numbers[r["doc_id"] // 5]
+        assert ibans == [number] + [numbers[1]] * (r["doc_id"] % 5 == 3), r["text"]
+
+
 def redacted_of(redacted):
     from pyspark.sql import functions as F
 

@@ -48,6 +48,22 @@ def _iban(value: Column) -> Column:
     return F.length(plain).between(15, 34) & (rest == 1)
 
 
+#: Characters of an IBAN by its country, from the public registry.
+IBAN_LENGTHS = {
+    15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV",
+    22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ DZ ES MD PK RO SA SE SK TN VG",
+    25: "LY PT ST", 26: "IS TR", 27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HN HU LB NI PL SV",
+    29: "BR EG PS QA UA", 30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU",
+}
+
+
+def _iban_pattern() -> str:
+    """As many characters as the country's numbers have, so that words or numbers that
+    follow are no part of it; of other countries none is known."""
+    kinds = [f"(?:{'|'.join(codes.split())})[0-9]{{2}}(?: ?[A-Z0-9]){{{n - 4}}}" for n, codes in IBAN_LENGTHS.items()]
+    return rf"(?<![A-Za-z0-9_])(?:{'|'.join(kinds)})(?![A-Za-z0-9_])"
+
+
 @dataclass(frozen=True)
 class Kind:
     name: str
@@ -72,7 +88,7 @@ KINDS = (
     Kind("card", r"[0-9](?:[ -]?[0-9])++", "[0-9]", _card, True, "card|visa|credit|payment"),
     Kind("phone", r"\+[0-9][ ().0-9-]+[0-9]", r"\+[0-9]", _phone, False, r"phone|call|\btel|mobile"),
     Kind(
-        "iban", r"(?<![A-Za-z0-9_])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]){11,30}(?![A-Za-z0-9_])",
+        "iban", _iban_pattern(),
         "[A-Z]{2}[0-9]{2}[ A-Z0-9]", _iban, True, "iban|account|bank", base=False,
     ),
     Kind(
