@@ -212,6 +212,18 @@ def test_url_filter(spark):
     assert judge_urls(table.where("false"), rules).count() == 0
 
 
+def test_every_tag_gives_an_edge_on_the_page(spark):
+    from touchline.llm.url_filter import redirects
+
+    tags = ["index.html", "?p=2", "../x", "./y/../z?q=1", "/a/./b", "mailto:a@b.c", "#top", "http://else.net/w"]
+    html = "".join(f'<link rel="canonical" href="{t}">' for t in tags) + '<meta http-equiv="refresh" content="0; url=../../../up">'
+    table = spark.createDataFrame([("http://h.org/d/e/page?k=1", html), ("http://bare.org", '<link rel=canonical href="v">')], "url string, html string")
+    own = "h.org/d/e/page?k=1"
+    ends = ["h.org/d/e/index.html", "h.org/d/e/page?p=2", "h.org/d/x", "h.org/d/e/z?q=1", "h.org/a/b", "else.net/w", "h.org/up"]
+    got = Counter(map(tuple, redirects(table).collect()))
+    assert got == Counter([(own, e) for e in ends] + [("bare.org", "bare.org/v")])
+
+
 def test_components(spark):
     from touchline.llm.components import connected_components
 

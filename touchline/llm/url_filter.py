@@ -66,15 +66,35 @@ def matched_rule(host: Column, path: Column, rules: Sequence[Rule]) -> Column:
     return found
 
 
+def _without_dots(address: Column) -> Column:
+    """A path, and what follows it, with its parts . and .. resolved."""
+    path = F.regexp_extract(address, "(?s)^/([^?#]*)", 1)
+    kept = F.aggregate(
+        F.split(path, "/"),
+        F.array().cast("array<string>"),
+        lambda acc, x: F.when(x == ".", acc)
+        .when(x == "..", F.slice(acc, F.lit(1), F.greatest(F.size(acc) - 1, F.lit(0))))
+        .otherwise(F.array_append(acc, x)),
+    )
+    return F.concat(F.lit("/"), F.array_join(kept, "/"), F.regexp_extract(address, "(?s)^[^?#]*(.*)$", 1))
+
+
 def redirects(pages: DataFrame) -> DataFrame:
     """(a, b): normal forms of each page's address and of the one it names as canonical
-    or redirects to. Addresses without a scheme are taken on the page's host."""
-    raw = F.concat(*[F.array(F.regexp_extract(F.coalesce("html", F.lit("")), p, 1)) for p in CANONICAL])
+    or redirects to, one for every such tag. Relative addresses are taken on the page's
+    host and, without a leading slash, in its folder; other schemes than :// are none."""
+    html, url = F.coalesce("html", F.lit("")), F.col("url")
+    raw = F.concat(*[F.regexp_extract_all(html, F.lit(p), F.lit(1)) for p in CANONICAL])
     target = F.trim(F.col("target"))
+    home, path = F.concat(F.lit("http://"), host_of(url)), path_of(url)
+    folder = F.concat(F.lit("/"), F.regexp_replace(F.regexp_replace(path, "^/", ""), "(?s)[^/]*$", ""))
     whole = (
         F.when(target.contains("://"), target)
         .when(target.startswith("//"), F.concat(F.lit("http:"), target))
-        .when(target.startswith("/"), F.concat(F.lit("http://"), host_of(F.col("url")), target))
+        .when(target.startswith("/"), F.concat(home, _without_dots(target)))
+        .when(target.startswith("?"), F.concat(home, path, target))
+        .when(target.startswith("#") | target.rlike("^[A-Za-z][A-Za-z0-9+.-]*:"), F.lit(None))
+        .otherwise(F.concat(home, _without_dots(F.concat(folder, target))))
     )
     hint = F.lower(F.coalesce("html", F.lit(""))).rlike("canonical|http-equiv")
     named = pages.where(hint).select("url", F.explode(raw).alias("target")).where("target <> ''")
