@@ -219,3 +219,92 @@ def repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"),
         F.sha2("kept", 256).alias("kept_sha256"),
     )
+
+
+@query("op11_spelling")
+def spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from touchline.llm.spelling import variants
+
+    return variants(table(spark, sf_dir, "documents"))
+
+
+OP12_SQL = r"""
+WITH t AS (SELECT doc_id, coalesce(text, '') AS t, coalesce(source, '') AS part FROM documents),
+w AS (SELECT *, list_filter(string_split_regex(t, '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM t),
+l AS (SELECT doc_id, max(coalesce(quality, 0) = 1) AS good, max(coalesce(toxic, 0) = 1) AS toxic FROM labels GROUP BY 1),
+d AS (
+  SELECT part, coalesce(good, false) AS good, coalesce(toxic, false) AS toxic,
+    CASE WHEN len(w) < 50 THEN 'A' ELSE '' END
+    || CASE WHEN 100 * len(list_distinct(w)) < 65 * len(w) THEN 'B' ELSE '' END
+    || CASE WHEN 100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 5 * length(t) THEN 'C' ELSE '' END
+    || CASE WHEN regexp_matches(t, '[#$%&*|]') THEN 'D' ELSE '' END
+    || CASE WHEN doc_id > min(doc_id) OVER (PARTITION BY t) THEN 'E' ELSE '' END AS failing
+  FROM w LEFT JOIN l USING (doc_id)),
+c AS (SELECT part, failing, count(*) AS n, count(*) FILTER (good) AS good, count(*) FILTER (toxic) AS toxic FROM d GROUP BY 1, 2),
+f(x) AS (VALUES ('A'), ('B'), ('C'), ('D'), ('E')),
+o AS (
+  SELECT a.x || b.x || c.x || d.x || e.x AS filter_order FROM f a, f b, f c, f d, f e
+  WHERE a.x NOT IN (b.x, c.x, d.x, e.x) AND b.x NOT IN (c.x, d.x, e.x) AND c.x NOT IN (d.x, e.x) AND d.x <> e.x),
+s AS (SELECT filter_order, step, filter_order[step] AS letter, filter_order[1:step - 1] AS before FROM o, unnest(range(1, 6)) u(step)),
+g AS (
+  SELECT part, filter_order, step, letter, n, good, toxic, failing = letter AS only_here, contains(failing, letter) AS fails,
+    regexp_matches(failing, '[' || before || '0]') AS gone
+  FROM c, s),
+r AS (
+  SELECT part, filter_order, step, letter, coalesce(sum(n) FILTER (NOT gone AND NOT fails), 0) AS kept,
+    coalesce(sum(n) FILTER (NOT gone AND fails), 0) AS removed, coalesce(sum(n) FILTER (gone AND fails), 0) AS redundant,
+    coalesce(sum(n) FILTER (only_here), 0) AS unique_fails, coalesce(sum(good) FILTER (NOT gone AND fails), 0) AS good_lost,
+    coalesce(sum(toxic) FILTER (NOT gone AND fails), 0) AS toxic_lost
+  FROM g GROUP BY 1, 2, 3, 4)
+SELECT part, filter_order, cast(step AS INTEGER) AS step, kept::BIGINT AS kept, removed::BIGINT AS removed,
+  redundant::BIGINT AS redundant, unique_fails::BIGINT AS unique_fails, good_lost::BIGINT AS good_lost,
+  toxic_lost::BIGINT AS toxic_lost, cast(sum(removed) OVER (PARTITION BY part, letter) AS BIGINT) AS shapley
+FROM r
+"""
+
+
+@query("op12_filter_audit", OP12_SQL)
+def filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from touchline.llm.audit import audit
+
+    return audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+OP13_SQL = r"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+k(kind, ord, pat) AS (VALUES
+  ('assign', 1, '(?:[Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]|[Tt][Oo][Kk][Ee][Nn]|[Aa][Pp][Ii]_?[Kk][Ee][Yy])["'']?\x20*[:=]\x20*["'']?[A-Za-z0-9+/_.=-]+'),
+  ('access', 2, 'AKIA[A-Z0-9]+'), ('hex', 3, '[0-9a-f]+'),
+  ('github', 4, 'gh[pousr]_[A-Za-z0-9]{36,}'), ('slack', 5, 'xox[abprs]-[A-Za-z0-9-]{10,}'),
+  ('webtoken', 6, 'eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}'),
+  ('private_key', 7, '-----BEGIN (?:[A-Z]{2,10} )?PRIVATE KEY-----')),
+m AS (SELECT doc_id, k.*, regexp_extract_all(t, pat) AS ms, string_split_regex(t, pat) AS gs FROM d, k WHERE regexp_matches(t, pat)),
+e AS (SELECT doc_id, kind, ord, unnest(ms) AS v, unnest(gs[1:len(ms)]) AS g, unnest(range(1, len(ms) + 1)) AS i FROM m),
+s AS (SELECT *, sum(length(g) + length(v)) OVER (PARTITION BY doc_id, kind ORDER BY i) AS b FROM e),
+ok AS (SELECT doc_id, kind, ord, cast(b - length(v) AS BIGINT) AS a, cast(b AS BIGINT) AS b FROM s WHERE CASE kind
+  WHEN 'assign' THEN length(regexp_extract(v, '^[A-Za-z_]+["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)$', 1)) >= 6
+  WHEN 'access' THEN length(v) >= 20 WHEN 'hex' THEN length(v) >= 24 ELSE true END),
+l AS (SELECT doc_id, count(*) FILTER (kind = 'assign') AS n_assign, count(*) FILTER (kind = 'access') AS n_access,
+    count(*) FILTER (kind = 'hex') AS n_hex,
+    string_agg(kind || ':' || a || ':' || b, ',' ORDER BY a, ord) FILTER (ord <= 3) AS base,
+    string_agg(kind || ':' || a || ':' || b, ',' ORDER BY a, ord) AS spans FROM ok GROUP BY doc_id)
+SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
+  sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM d LEFT JOIN l USING (doc_id)
+"""
+
+
+@query("op13_secrets", OP13_SQL)
+def secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from touchline.llm.ledger import RULES, Ledger, listed
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    ledger = Ledger(spark, scratch_dir(spark, "secret-ledger"))
+    ledger.scan(docs)
+    base = [r.name for r in RULES if r.base]
+    of = lambda kind: F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long")
+    return ledger.findings(docs).select(
+        "doc_id", *[of(k).alias(f"n_{k}") for k in base],
+        F.sha2(listed(F.filter("spans", lambda s: s["kind"].isin(base))).cast("binary"), 256).alias("base_sha256"),
+        listed(F.col("spans")).alias("spans"),
+    )
