@@ -72,6 +72,12 @@ def materialise(df, label: str):
     return spark.read.schema(df.schema).parquet(path)
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete what is stored at `path`, if anything, in whatever store holds it."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
 def spread_by(df, *keys: str):
     """Hash `df` by `keys` into the session's number of shuffle partitions.
 

@@ -4,13 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from touchline import config
 from touchline.functions.casting import nan_to_null
 from touchline.operators.events import is_live
+from touchline.streaming.keyed import KeyedSink, read_sink
 
 
 def event_source(
@@ -48,56 +48,15 @@ def decode_events(df: DataFrame, schema: str = config.LIVE_EVENT_DDL, value: str
     return parsed.select("e.*").where(F.col("id").isNotNull())
 
 
-def read_sink(spark: SparkSession, path: str, schema) -> DataFrame:
-    """What a Parquet sink holds; no rows before its first batch."""
-    try:
-        return spark.read.schema(schema).parquet(path)
-    except AnalysisException as missing:
-        if "PATH_NOT_FOUND" not in str(missing):
-            raise
-        return spark.createDataFrame([], schema)
-
-
 def insert_ignore(
     path: str,
     key: str = "id",
     layout: tuple[str, ...] = (),
     by: tuple[str, ...] = (),
     then: Callable[[DataFrame, int], None] | None = None,
-) -> Callable[[DataFrame, int], None]:
-    """A `foreachBatch` writer that skips keys its table already holds.
-
-    An event is new if no earlier batch stored its key, however late it comes; no
-    state is kept that could forget a key or drop an event. Each batch has a folder
-    of its own, so one that is run again replaces what it wrote. `by` partitions the
-    table by columns that a key fixes, such as its match or day: then only the
-    partitions that the batch touches are looked up, and only their key column is
-    read. `layout` ranges and sorts the files; ranges split a match of any size, as
-    hashing its id would not. `then` is given the new events as stored.
-    """
-
-    def write(batch: DataFrame, batch_id: int) -> None:
-        spark, schema = batch.sparkSession, batch.schema
-        batch = batch.persist()
-        try:
-            known = read_sink(spark, path, schema)
-            if "batch" in known.columns:
-                known = known.where(F.col("batch") < batch_id)
-            for column in by:
-                # As many values as the batch has partitions.
-                touched = [r[0] for r in batch.select(column).distinct().collect()]
-                known = known.where(F.col(column).isin([v for v in touched if v is not None]) | F.col(column).isNull())
-            fresh = batch.dropDuplicates([key]).join(known.select(key), key, "left_anti").select(*batch.columns)
-            if layout:
-                fresh = fresh.repartitionByRange(*layout, key).sortWithinPartitions(*layout, key)
-            own = f"{path}/batch={batch_id}"
-            fresh.write.mode("overwrite").partitionBy(*by).parquet(own)
-            if then:
-                then(spark.read.schema(schema).parquet(own), batch_id)
-        finally:
-            batch.unpersist()
-
-    return write
+) -> KeyedSink:
+    """A `foreachBatch` writer that skips keys its table already holds (see keyed)."""
+    return KeyedSink(path, key, layout, by, then)
 
 
 def write_routes(root: str) -> Callable[[DataFrame, int], None]:
