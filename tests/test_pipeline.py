@@ -7,7 +7,7 @@ from touchline.plans import silver
 from touchline.plans.medallion import Medallion
 from touchline.sources import csv_tree
 from touchline.sources.tables import align_schema, append_bronze, read_table
-from touchline.streaming import live
+from touchline.streaming import live, matches
 
 
 def _write(path, text, encoding="utf-8"):
@@ -208,13 +208,13 @@ def test_stream_keeps_late_events_and_no_repeats(spark, tmp_path):
 
 
 def test_stream_stops_when_match_is_over(spark, tmp_path):
-    src = str(tmp_path / "src")
-    spark.createDataFrame([(1, "6")], "id long, status string").write.json(src)
-    write, wait = live.until_finished(live.insert_ignore(str(tmp_path / "out")), F.col("status"))
-    stream = live.event_source(spark, "json", None, "id long, status string", src)
+    src, ck = str(tmp_path / "src"), str(tmp_path / "ck")
+    schema = "id long, status string, match_url string"
+    spark.createDataFrame([(1, "6", "u")], schema).write.json(src)
     assert live.mode_for(spark.read.json(src), F.col("status")) == {"availableNow": True}
-    query = live.event_sink(stream, str(tmp_path / "ck"), live.run_mode(True, 1), write)
-    wait(query)
+    stream = matches.until_over(live.event_source(spark, "json", None, schema, src), page="id")
+    query = live.event_sink(stream, ck, live.run_mode(True, 1), live.insert_ignore(str(tmp_path / "out")))
+    matches.wait_until_over(query, spark, ck)
     assert not query.isActive and read_table(spark, str(tmp_path / "out")).count() == 1
 
 

@@ -51,3 +51,97 @@ def test_keyed_sink_takes_text_keys(spark, tmp_path):
         sink(spark.createDataFrame([(n,) for n in names], "name string"), k)
     got = sorted(r["name"] for r in spark.read.schema("name string").parquet(path).collect())
     assert got == sorted(["A", "a", "b", "c", "é", "漢"])
+
+
+def _pages(spark, path, rows):
+    schema = "match_url string, page long, status string, doc string"
+    spark.createDataFrame([(m, p, s, f"{m}-{p}") for m, p, s in rows], schema).coalesce(1).write.mode("append").parquet(path)
+    return schema
+
+
+def test_matches_end_one_by_one_and_stay_ended(spark, tmp_path):
+    from touchline.streaming import live
+    from touchline.streaming.matches import match_states, until_over, wait_until_over
+
+    src, out, ck = (str(tmp_path / p) for p in ("src", "out", "ck"))
+
+    def start(trigger):
+        pages = live.event_source(spark, "parquet", {"maxFilesPerTrigger": "1"}, schema, src)
+        return live.event_sink(until_over(pages), ck, trigger, KeyedSink(out, key="doc"))
+
+    schema = _pages(spark, src, [("a", 1, "live"), ("a", 3, "6"), ("a", 4, "live"), ("b", 1, "1"), (None, 1, "live")])
+    start(live.run_mode(False)).awaitTermination()
+    _pages(spark, src, [("a", 5, "live"), ("a", 2, "live"), ("b", 2, "HT"), ("c", 9, None)])  # a is over, though 2 comes late
+    start(live.run_mode(False)).awaitTermination()
+    states = {r["match_url"]: (r["taken"], r["over"], r["last"]) for r in match_states(spark, ck).collect()}
+    assert states == {"a": (3, True, 3), "b": (2, False, None), "c": (1, True, 9)}
+    query = start(live.run_mode(True, 1))
+    _pages(spark, src, [("b", 3, "2"), ("b", 4, "6"), ("b", 5, "6")])
+    wait_until_over(query, spark, ck)
+    assert not query.isActive
+    stored = spark.read.schema("doc string, last boolean").parquet(out).collect()
+    assert {(r["doc"], r["last"]) for r in stored} == {
+        ("a-1", False), ("a-2", False), ("a-3", True), ("b-1", False), ("b-2", False), ("b-3", False), ("b-4", True), ("c-9", True),
+    }
+    assert len(stored) == 8
+
+
+def test_counts_hold_over_more_batches_than_reports_are_kept(spark, tmp_path):
+    from touchline.streaming import live
+    from touchline.streaming.counters import count_events, totals
+
+    src, ck = str(tmp_path / "src"), str(tmp_path / "ck")
+    rows = spark.range(120).select("id", (F.col("id") % 3 == 0).alias("is_goal"), (F.col("id") % 2 == 0).alias("is_shot"), (F.col("id") % 5 == 0).alias("card_type"))
+    rows.repartition(120).write.option("maxRecordsPerFile", 1).parquet(src)
+    listening = totals(spark)
+    stream = count_events(live.event_source(spark, "parquet", {"maxFilesPerTrigger": "1"}, rows.schema, src))
+    query = live.event_sink(stream, ck, live.run_mode(False), fmt="noop")
+    query.awaitTermination()
+    assert len(query.recentProgress) <= 100
+    own = listening.of(query)
+    files = len(list((tmp_path / "src").glob("*.parquet")))
+    assert files > 100 and own["batches"] == files and own["rows"] == 120
+    assert own["observed"]["sent"] == {"events": 120, "goals": 40, "shots": 40, "cards": 8}
+    assert live.progress(query) == {"batches": files, "rows": 120}
+
+
+def test_a_query_that_fails_reads_the_same_offsets_again(spark, tmp_path):
+    from touchline.sources.event_log import append_log, offsets_of, read_log
+    from touchline.streaming import live
+
+    log, out, ck = (str(tmp_path / p) for p in ("log", "out", "ck"))
+    frame = lambda a, b: spark.range(a, b).select(F.col("id").cast("string").alias("key"), F.concat(F.lit("v"), "id").alias("value"), "id")
+    assert append_log(frame(0, 50), log, "id", 4) == 1
+    sink, failing, ranges = KeyedSink(out, key="key"), {"yes": False}, []
+
+    def write(batch, batch_id):
+        ranges.append((batch_id, sorted((r["partition"], r["offset"]) for r in batch.collect())))
+        sink(batch, batch_id)
+        if failing["yes"]:
+            raise RuntimeError("lost after the write")
+
+    def run():
+        query = live.event_sink(read_log(spark, log), ck, live.run_mode(False), write)
+        query.awaitTermination()
+
+    run()
+    append_log(frame(50, 80), log, "id", 4)
+    failing["yes"] = True
+    with pytest.raises(Exception, match="lost after the write"):
+        run()
+    append_log(frame(70, 90), log, "id", 4)  # comes after the failed batch was planned; repeats some keys
+    failing["yes"] = False
+    run()  # the planned batch, and no more in a run of what is available
+    run()
+    assert [k for k, _ in ranges] == [0, 1, 1, 2]
+    assert ranges[1][1] == ranges[2][1]  # the same range, whatever came since
+    seen = [x for k, (_, rows) in enumerate(ranges) if k != 1 for x in rows]
+    assert sorted(seen) == sorted({x for x in seen}) and len(seen) == 100
+    stored = spark.read.schema("key string, partition int, offset long").parquet(out).collect()
+    assert sorted(int(r["key"]) for r in stored) == list(range(90))
+    assert all(int(r["key"]) % 4 == r["partition"] for r in stored)
+    for p in range(4):  # offsets of a partition follow its keys
+        own = sorted((r["offset"], int(r["key"])) for r in stored if r["partition"] == p)
+        assert [k for _, k in own] == sorted(k for _, k in own)
+    assert offsets_of(spark, ck, 2) == {str(p): 25 for p in range(4)}
+    assert spark.read.format("event_log").load(log).count() == 100

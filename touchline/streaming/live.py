@@ -10,6 +10,7 @@ from pyspark.sql.streaming import StreamingQuery
 from touchline import config
 from touchline.functions.casting import nan_to_null
 from touchline.operators.events import is_live
+from touchline.streaming.counters import totals
 from touchline.streaming.keyed import KeyedSink, read_sink
 
 
@@ -96,6 +97,7 @@ def event_sink(
     For a broker pass fmt="kafka" and options such as kafka.bootstrap.servers,
     kafka.acks=all and topic; `df` then comes from `encode_events`.
     """
+    totals(df.sparkSession)  # listens from the first batch on
     writer = df.writeStream.option("checkpointLocation", checkpoint).trigger(**trigger)
     if name:
         writer = writer.queryName(name)
@@ -104,34 +106,7 @@ def event_sink(
     return writer.format(fmt).options(**dict(options or {})).start()
 
 
-def until_finished(
-    write: Callable[[DataFrame, int], None], status: Column
-) -> tuple[Callable[[DataFrame, int], None], Callable[[StreamingQuery], None]]:
-    """Wrap a batch writer so that its query stops once the match is over.
-
-    Returns the wrapped writer and a function that waits for, then stops, the
-    query: after a batch with events of which none is live any more.
-    """
-    over = {"yes": False}
-
-    def wrapped(batch: DataFrame, batch_id: int) -> None:
-        batch = batch.persist()  # one evaluation for the writer and the status
-        try:
-            seen = batch.agg(F.max(is_live(status)).alias("live")).first()["live"]
-            write(batch, batch_id)
-        finally:
-            batch.unpersist()
-        over["yes"] = over["yes"] or seen is False
-
-    def wait(query: StreamingQuery) -> None:
-        while query.isActive and not over["yes"]:
-            query.awaitTermination(1)
-        query.stop()
-
-    return wrapped, wait
-
-
 def progress(query: StreamingQuery) -> dict:
-    """Batches run and rows read by a query, from its own progress reports."""
-    reports = query.recentProgress
-    return {"batches": len(reports), "rows": sum(r["numInputRows"] for r in reports)}
+    """Batches run and rows read by a query in this application (see counters.Totals)."""
+    own = totals(SparkSession.active()).of(query)
+    return {"batches": own["batches"], "rows": own["rows"]}
