@@ -14,12 +14,11 @@ from touchline.llm.packing import pack_documents
 from touchline.llm.pii import find_personal_data, redacted
 from touchline.llm.quality import accepted
 from touchline.llm.queries import vocabulary
-from touchline.llm.verified import first_of_alike
+from touchline.llm.simhash import first_of_groups
 
-#: Near duplicates: Jaccard similarity of a link; words of a shingle; 64-bit words of a
-#: fingerprint, each with a grid for every fourth of it; and bits of the first three that
-#: may differ in a candidate, four standard deviations over the mean at that similarity.
-NEAR = {"alike": 0.8, "shingle": 5, "words": 24, "reach": 3, "blocks": 4, "compared": 3, "most": 50}
+#: Near duplicates, by the operator's own terms: words of a shingle, and bits that the
+#: fingerprints of linked documents may differ in.
+NEAR = {"shingle": 4, "reach": 4}
 
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -30,7 +29,7 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 def keep_first_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates."""
     table(spark, sf_dir, "documents")
-    return first_of_alike(docs, **NEAR)
+    return first_of_groups(docs, **NEAR)
 
 
 def keep_uncontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
