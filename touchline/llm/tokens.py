@@ -21,7 +21,7 @@ VISIBLE = re.compile("[^\\s\u180e\u200b-\u200f\u2060\ufeff]")
 ODD = frozenset(c for c in map(chr, range(1 << 16)) if not VISIBLE.match(c))
 #: Texts that are encoded before what they brought is known to the next ones.
 TEXTS = 64
-KEPT_CHUNKS = 500_000
+KEPT_CHUNKS = 200_000
 KEPT_CHARS = 40
 
 
