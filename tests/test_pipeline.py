@@ -1,11 +1,15 @@
 """Ingestion, the layers from files to recommendations, and the streams."""
 
+import random
+from collections import Counter
+
+import pytest
 from pyspark.sql import functions as F
 
 from touchline import config
 from touchline.plans import silver
 from touchline.plans.medallion import Medallion
-from touchline.sources import csv_tree
+from touchline.sources import csv_records, csv_tree
 from touchline.sources.tables import align_schema, append_bronze, read_table
 from touchline.streaming import live, matches
 
@@ -62,6 +66,64 @@ def test_csv_headers_and_cells_are_whole(spark, tmp_path):
     assert {(r["TWO_LINES"], r["X_Y"]) for r in rows if r is not wide} == {("a\nb", "c"), (None, None)}
 
 
+@pytest.fixture
+def small_blocks(spark):
+    names = {"spark.sql.files.maxPartitionBytes": "300", "spark.sql.files.openCostInBytes": "1"}
+    before = {k: spark.conf.get(k) for k in names}
+    for k, v in names.items():
+        spark.conf.set(k, v)
+    yield
+    for k, v in before.items():
+        spark.conf.set(k, v)
+
+
+@pytest.mark.parametrize("most", [1000, 0])
+def test_quoted_line_breaks_are_read_by_several_tasks(spark, tmp_path, small_blocks, monkeypatch, most):
+    monkeypatch.setattr(csv_records, "BROADCAST_BLOCKS", most)
+    draw = random.Random(7)
+    kinds = {
+        "plain": "plain", "": None, '"two\nlines"': "two\nlines", '"a ""q"" b"': 'a "q" b', '5" pipe': '5" pipe', '"x\n\n\ny"': "x\n\n\ny",
+        '"' + "long\n" * 60 + '"': "long\n" * 60, '"a,b"': "a,b", "é": "é", '""': None,
+    }
+    expected = Counter()
+    for k, end in enumerate(["\n", "\r\n", "\n"]):
+        rows = [[str(i), *draw.choices(list(kinds), k=2)] for i in range(40)]
+        text = end.join(['number,"one\nname",other', *map(",".join, rows), "", ""])
+        _write(tmp_path / f"r/f{k}.csv", ("\ufeff" if k else "") + text)
+        expected.update((i, kinds[b], kinds[c]) for i, b, c in rows)
+    open_ended = "4,5\n" + "6,7\n" * 60
+    _write(tmp_path / "r/open.csv", f'a,b\n1,2\n3,"never closed\n{open_ended}')
+    expected.update([("1", "2", None), ("3", "never closed\n" + open_ended.removesuffix("\n"), None)])
+    records = csv_records.csv_records(spark, str(tmp_path / "r"))
+    got = csv_records.parsed(records).select(*[F.try_element_at("cells", F.lit(k)) for k in (1, 2, 3)])
+    assert Counter(map(tuple, got.collect())) == expected
+    # As Spark's own reader has a file that one task must read as a whole.
+    whole = spark.read.schema("a string, b string, c string").options(header="true", multiLine="true", escape='"')
+    (tmp_path / "one").mkdir()
+    (tmp_path / "one/f0.csv").write_bytes((tmp_path / "r/f0.csv").read_bytes())
+    own = csv_records.parsed(csv_records.csv_records(spark, str(tmp_path / "one"))).select(*[F.try_element_at("cells", F.lit(k)) for k in (1, 2, 3)])
+    assert Counter(map(tuple, own.collect())) == Counter(map(tuple, whole.csv(str(tmp_path / "one")).collect()))
+    assert records.where("first").count() == 4
+    lines = spark.read.options(**csv_records.SCAN).text(str(tmp_path / "r"))
+    assert lines.rdd.getNumPartitions() > 10
+
+
+def test_lines_end_inside_or_outside_of_cells():
+    for line, outside, inside in [
+        ("a,b", False, True), ('a,"b', True, False), ('a"b,c', False, False), ('"a""', True, True), ('"a"",b"', False, True),
+        ('"a"b"c,"', True, True), ('""', False, False), ('"', True, False), ("", False, True), (',"",', False, False),
+    ]:
+        assert (csv_records.ends_open(line.encode(), False), csv_records.ends_open(line.encode(), True)) == (outside, inside), line
+
+
+def test_a_load_counts_what_it_writes(spark, tmp_path):
+    for k in range(3):
+        _write(tmp_path / f"r/a/b/{k}.csv", "name,n\n" + "x,1\n" * k)
+    path = str(tmp_path / "bronze")
+    stats = csv_tree.load_csv_tree(spark, str(tmp_path / "r"), path, "b1")
+    assert stats == {"batch": "b1", "processed": 2, "skipped": 1, "loaded": 3} and read_table(spark, path).count() == 3
+
+
 def test_a_file_that_cannot_be_read_ends_the_load(spark, tmp_path):
     _write(tmp_path / "r/a/b/one.csv", "x\n1\n")
     headers = csv_tree.read_headers(spark, str(tmp_path / "r"), csv_tree.scan_csv_tree(spark, str(tmp_path / "r")))

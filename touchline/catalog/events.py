@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from touchline import config
@@ -10,9 +11,12 @@ from touchline.catalog.derived import for_duckdb
 from touchline.catalog.layers import rounded
 from touchline.operators import events as ev
 from touchline.operators.joins import unsent, with_lookup
-from touchline.session import scratch_dir
+from touchline.session import scratch_dir, spread_by
+from touchline.sources.event_log import append_log, read_log
 from touchline.sources.pages import extract_embedded_json
 from touchline.streaming import live
+from touchline.streaming.counters import count_events, totals
+from touchline.streaming.matches import until_over
 
 # Events under the names and texts of the feed: junk coordinates, missing flags.
 FEED = """SELECT event_id AS id, user_id AS playerId, event_type AS type,
@@ -199,15 +203,16 @@ def _json_payload(spark, sf_dir):
 
 
 def _arrivals(spark, sf_dir, events):
-    """Events as a stream of four files, one per batch. The first three hold a third
-    of the ids each, so two of every three events come hours after later ones; the
-    last brings back half of all, as do repeats within each file."""
+    """Events as a stream of about four batches, each of as many files as there are
+    shuffle partitions. The first three hold a third of the ids each, so two of every
+    three events come hours after later ones; the last brings back half of all, as do
+    repeats within each."""
     home = scratch_dir(spark, "arrivals")
     again = events.where("id % 2 = 0")
     parts = [events.where(f"id % 3 = {k}") for k in (2, 0, 1)] + [again]
     for k, part in enumerate(parts):
-        part.unionByName(part.where("id % 5 = 1")).coalesce(1).write.parquet(f"{home}/part={k}")
-    options = {"maxFilesPerTrigger": "1"}
+        spread_by(part.unionByName(part.where("id % 5 = 1")), "id").write.parquet(f"{home}/part={k}")
+    options = {"maxFilesPerTrigger": spark.conf.get("spark.sql.shuffle.partitions")}
     return live.event_source(spark, "parquet", options, events.schema, f"{home}/part=*")
 
 
@@ -292,3 +297,87 @@ def _stream_match(spark, sf_dir):
     numbers = {c: F.col(c).cast("double") for c in ("second", "x", "y", "end_x", "end_y")}
     stamped = F.col("event_timestamp").isNotNull().alias("stamped")
     return parsed.withColumns(numbers).select("topic", *[c for c in kept if c != "event_timestamp"], stamped)
+
+
+@query(
+    "stream_match_end",
+    """WITH p AS (SELECT 'https://example.org/match/' || CAST(user_id % 40 AS VARCHAR) AS match_url, event_id AS page,
+        event_type AS doc, event_type = 'error' AND event_id % 7 = 3 AS ends FROM events),
+    e AS (SELECT match_url, MIN(page) FILTER (ends) AS last FROM p GROUP BY 1)
+    SELECT match_url, page, doc, COALESCE(page = last, FALSE) AS last_page FROM p JOIN e USING (match_url)
+    WHERE last IS NULL OR page <= last""",
+)
+def _stream_match_end(spark, sf_dir):
+    """Forty matches polled over three runs of one query, each match up to the page that
+    ends it; runs after the first know from the checkpoint which are over."""
+    home = scratch_dir(spark, "match-end")
+    ends = (F.col("event_type") == "error") & (F.col("event_id") % 7 == 3)
+    pages = table(spark, sf_dir, "events").select(
+        F.concat(F.lit("https://example.org/match/"), (F.col("user_id") % 40).cast("string")).alias("match_url"),
+        F.col("event_id").alias("page"), F.when(ends, "6").otherwise("live").alias("status"), F.col("event_type").alias("doc"),
+    )
+    last = pages.agg(F.max("page")).first()[0] or 0
+    cuts = [-1, last // 3, 2 * last // 3, last]
+    for a, b in zip(cuts, cuts[1:]):
+        part = pages.where((F.col("page") > a) & (F.col("page") <= b))
+        spread_by(part, "page").write.mode("append").parquet(f"{home}/pages")
+        stream = until_over(live.event_source(spark, "parquet", None, pages.schema, f"{home}/pages"))
+        sink = live.insert_ignore(f"{home}/table", key="page")
+        live.event_sink(stream, f"{home}/checkpoint", live.run_mode(live=False), sink).awaitTermination()
+    stored = live.read_sink(spark, f"{home}/table", "match_url string, page long, doc string, last boolean")
+    return stored.select("match_url", "page", "doc", F.col("last").alias("last_page"))
+
+
+@query(
+    "stream_counts",
+    """SELECT 'events' AS kind, COUNT(*) AS n FROM events UNION ALL SELECT 'goals', COUNT(*) FROM events WHERE event_type = 'purchase'
+    UNION ALL SELECT 'shots', COUNT(*) FROM events WHERE event_type = 'click'
+    UNION ALL SELECT 'cards', COUNT(*) FROM events WHERE event_type = 'error'""",
+)
+def _stream_counts(spark, sf_dir):
+    """What a stream has sent, observed as it passes and summed over all its batches."""
+    home = scratch_dir(spark, "counts")
+    events = _feed_events(spark, sf_dir)
+    spread_by(events, "id").write.parquet(f"{home}/events")
+    stream = count_events(live.event_source(spark, "parquet", {"maxFilesPerTrigger": "3"}, events.schema, f"{home}/events"))
+    counts = totals(spark)
+    query_ = live.event_sink(stream, f"{home}/checkpoint", live.run_mode(live=False), fmt="noop")
+    query_.awaitTermination()
+    sent = counts.of(query_)["observed"].get("sent", {})
+    return spark.createDataFrame([(k, sent.get(k, 0)) for k in ("events", "goals", "shots", "cards")], "kind string, n long")
+
+
+@query(
+    "stream_offsets",
+    """SELECT event_id AS id, CAST(event_id % 8 AS INTEGER) AS log_partition,
+        ROW_NUMBER() OVER (PARTITION BY event_id % 8 ORDER BY CASE WHEN event_id % 3 = 0 THEN 1 ELSE 0 END, event_id) - 1 AS log_offset
+    FROM events""",
+)
+def _stream_offsets(spark, sf_dir):
+    """Messages of a log by partition and offset. The second run of the query is lost after
+    its write, before it is committed; the next one reads the same offsets again."""
+    home = scratch_dir(spark, "offsets")
+    rows = table(spark, sf_dir, "events").select(F.col("event_id").alias("id"), F.col("event_type"))
+    messages = live.encode_events(rows).withColumn("at", F.col("key").cast("long"))
+    sink, lost = live.insert_ignore(f"{home}/table", key="key"), {"runs": 0}
+
+    def write(batch, batch_id):
+        sink(batch, batch_id)
+        lost["runs"] += 1
+        if lost["runs"] == 2:
+            raise RuntimeError("a run that is lost")
+
+    def run():
+        live.event_sink(read_log(spark, f"{home}/log"), f"{home}/checkpoint", live.run_mode(live=False), write).awaitTermination()
+
+    append_log(messages.where("at % 3 <> 0"), f"{home}/log", "at")
+    run()
+    append_log(messages.where("at % 3 = 0"), f"{home}/log", "at")
+    try:
+        run()
+    except StreamingQueryException as failed:
+        if "a run that is lost" not in str(failed):
+            raise
+    run()
+    stored = live.read_sink(spark, f"{home}/table", "key string, partition int, offset long")
+    return stored.select(F.col("key").cast("long").alias("id"), F.col("partition").alias("log_partition"), F.col("offset").alias("log_offset"))

@@ -5,21 +5,19 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from touchline.catalog import query, table
-from touchline.session import scratch_dir
+from touchline.session import scratch_dir, spread_by
 from touchline.sources import csv_tree
-from touchline.sources.tables import (
-    align_schema,
-    append_bronze,
-    missing_columns,
-    read_table,
-    write_table,
-)
+from touchline.sources.tables import read_table, write_table
+
+
+#: Keys of one CSV file.
+FILE_KEYS = 500
 
 
 def _tree(spark, sf_dir) -> str:
-    """root/geo/nation, root/people/customer and root/people/supplier, one file each
-    with its own header; some names need normalising, one is very long, cells hold
-    blanks, tabs and line breaks. root/none/empty has a header only."""
+    """root/geo/nation, root/people/customer and root/people/supplier, a file for every
+    `FILE_KEYS` keys, each table with its own header; some names need normalising, one is
+    very long, cells hold blanks, tabs and line breaks. root/none/empty has a header only."""
     root = scratch_dir(spark, "tree")
     nation, customer, supplier = (table(spark, sf_dir, t) for t in ("nation", "customer", "supplier"))
     padded = F.concat(F.lit("  "), F.col("c_name"), F.lit(" "))
@@ -39,12 +37,22 @@ def _tree(spark, sf_dir) -> str:
         ),
         "none/empty": nation.where("false").select("n_nationkey"),
     }
+    kept = {"header": "true", "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false", "escape": '"'}
+    keys = {"geo/nation": "n_nationkey", "people/customer": "c_custkey", "people/supplier": "s_suppkey"}
     for folder, df in parts.items():
-        kept = {"header": "true", "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false", "escape": '"'}
-        df.coalesce(1).write.options(**kept).csv(f"{root}/{folder}")
+        if folder in keys:
+            part = F.floor(F.col(keys[folder]) / FILE_KEYS).alias("part")
+            writer = spread_by(df.select("*", part), "part").write.partitionBy("part")
+        else:
+            writer = df.coalesce(1).write  # no rows
+        writer.options(**kept).csv(f"{root}/{folder}")
     return root
 
 
+def _files(table_name: str, key: str) -> str:
+    return f"(SELECT COUNT(DISTINCT FLOOR({key} / {FILE_KEYS}.0)) FROM {table_name})"
+
+
 COLUMNS = ("C_ACCTBAL", "C_CUSTKEY", "FULL_NAME", "N_NATIONKEY", "N_REGIONKEY", "S_SUPPKEY", "SAVES", "SEGMENT")
 INGESTED_SQL = """SELECT 'geo' AS league, 'nation' AS team, NULL AS c_acctbal, NULL AS c_custkey,
         CASE WHEN n_nationkey % 4 = 1 THEN n_name || CHR(10) || ',x' ELSE n_name END AS full_name,
@@ -75,8 +83,9 @@ def _file_classify(spark, sf_dir):
     """Suppliers by a header, customers by a value ('BUILDING' as the position
     word), nations by neither. Counted per table: the number of files varies."""
     root = _tree(spark, sf_dir)
-    headers = csv_tree.read_headers(spark, root, csv_tree.scan_csv_tree(spark, root))
-    rows = csv_tree.read_csv_groups(spark, root, headers)
+    records = csv_tree.stage_records(spark, root)
+    headers = csv_tree.read_headers(spark, root, csv_tree.scan_csv_tree(spark, root), records=records)
+    rows = csv_tree.read_csv_groups(records, headers)
     types = csv_tree.classify_files(rows, headers, "SEGMENT", ("gk", "building"))
     typed = csv_tree.add_lineage(rows, types, "batch-1")
     keeper = F.max(F.col("_PLAYER_TYPE") == "goalkeeper")
@@ -88,29 +97,23 @@ def _file_classify(spark, sf_dir):
 
 @query(
     "load_stats",
-    """SELECT 'batch-1' AS batch, (SELECT COUNT(*) FROM customer) + (SELECT COUNT(*) FROM supplier)
-        + (SELECT COUNT(*) FROM nation) AS loaded, 0::BIGINT AS with_region, 3::BIGINT AS processed, 1::BIGINT AS skipped
-    UNION ALL SELECT 'batch-2', (SELECT COUNT(*) FROM region), (SELECT COUNT(*) FROM region), 1, 0""",
+    f"""SELECT 'batch-1' AS batch, (SELECT COUNT(*) FROM customer) + (SELECT COUNT(*) FROM supplier)
+        + (SELECT COUNT(*) FROM nation) AS loaded, 0::BIGINT AS with_region,
+        {_files('customer', 'c_custkey')} + {_files('supplier', 's_suppkey')} + {_files('nation', 'n_nationkey')} AS processed, 1::BIGINT AS skipped
+    UNION ALL SELECT 'batch-2', (SELECT COUNT(*) FROM region), (SELECT COUNT(*) FROM region), {_files('region', 'r_regionkey')}, 0""",
 )
 def _load_stats(spark, sf_dir):
-    """Two batches into one bronze table, the second with columns the first lacks;
-    the table is then refreshed in whole and counted per batch."""
+    """Two batches into one bronze table, the second with columns the first lacks, each
+    counted as it is loaded; the table is then refreshed in whole."""
     home = scratch_dir(spark, "bronze")
     trees = {"batch-1": _tree(spark, sf_dir), "batch-2": scratch_dir(spark, "tree")}
-    first = csv_tree.ingest_csv_tree(spark, trees["batch-1"], "batch-1")
-    append_bronze(first, f"{home}/table")
-    region = table(spark, sf_dir, "region").coalesce(1)
-    region.write.option("header", "true").csv(f"{trees['batch-2']}/geo/region")
-    second = csv_tree.ingest_csv_tree(spark, trees["batch-2"], "batch-2")
-    grown = [*first.columns, *missing_columns(second, first.columns)]
-    append_bronze(align_schema(second, grown), f"{home}/table")
+    region = table(spark, sf_dir, "region").withColumn("part", F.floor(F.col("r_regionkey") / FILE_KEYS))
+    spread_by(region, "part").write.partitionBy("part").option("header", "true").csv(f"{trees['batch-2']}/geo/region")
+    first = csv_tree.load_csv_tree(spark, trees["batch-1"], f"{home}/table", "batch-1")
+    columns = read_table(spark, f"{home}/table").columns
+    second = csv_tree.load_csv_tree(spark, trees["batch-2"], f"{home}/table", "batch-2", columns=columns)
     write_table(read_table(spark, f"{home}/table", evolved=True), f"{home}/refreshed")
     bronze = read_table(spark, f"{home}/refreshed")
-    stats = None
-    for batch, root in trees.items():
-        own = csv_tree.load_stats(bronze.where(F.col("_BATCH_ID") == batch), csv_tree.scan_csv_tree(spark, root))
-        stats = own if stats is None else stats.unionByName(own)
-    filled = bronze.groupBy("_BATCH_ID").agg(F.count("R_NAME").alias("with_region"))
-    return stats.join(filled, "_BATCH_ID").select(
-        F.col("_BATCH_ID").alias("batch"), "loaded", "with_region", "processed", "skipped"
-    )
+    stats = spark.createDataFrame([first, second], "batch string, processed long, skipped long, loaded long")
+    filled = bronze.groupBy(F.col("_BATCH_ID").alias("batch")).agg(F.count("R_NAME").alias("with_region"))
+    return stats.join(filled, "batch").select("batch", "loaded", "with_region", "processed", "skipped")

@@ -14,13 +14,14 @@ from collections.abc import Iterable, Sequence
 from urllib.parse import urlparse
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
 from touchline import config
 from touchline.session import materialise
+from touchline.sources.csv_records import SCAN as _SCAN, csv_records, decoded as _decoded, file_id, parsed
+from touchline.sources.tables import align_schema, append_bronze
 
 LINEAGE = ("_SOURCE_FILE", "_LEAGUE", "_TEAM", "_PLAYER_TYPE", "_BATCH_ID", "_INGEST_TS")
-_SCAN = {"recursiveFileLookup": "true", "pathGlobFilter": "*.csv"}
 
 
 def scan_csv_tree(spark: SparkSession, root: str) -> DataFrame:
@@ -67,38 +68,34 @@ def normalise_header(name: Column) -> Column:
     return F.regexp_replace(F.regexp_replace(upper, "_+", "_"), "^_|_$", "")
 
 
-def _first_texts(spark: SparkSession, root: str) -> DataFrame:
-    """file_path and text of the first record of each file: its first line, or as many
-    as it takes to close every quote. Whole lines of any length, kept by aggregates
-    that hold one line per file."""
+def stage_records(spark: SparkSession, root: str, multi_line: bool = True) -> DataFrame:
+    """(file, record, first) of the whole tree, stored: the text is parsed from here, and
+    headers are the records marked `first`. Where no cell holds a line break,
+    `multi_line=False` takes lines as they are, in one pass."""
+    if multi_line:
+        return materialise(csv_records(spark, root), "records")
     lines = (
         spark.read.options(**_SCAN).text(root)
-        .select(_decoded("_metadata.file_path").alias("file_path"), "value", F.monotonically_increasing_id().alias("at"))
-        .where("_metadata.file_block_start = 0")
+        .select(
+            file_id(_decoded("_metadata.file_path")).alias("file"), F.col("_metadata.file_block_start").alias("block"),
+            F.monotonically_increasing_id().alias("at"), F.col("value").alias("record"),
+        ).where("record <> ''")
     )
-    first = lines.groupBy("file_path").agg(F.min(F.struct("at", "value"))["value"].alias("text"))
-    first = materialise(first, "first-lines")
-    quotes = F.length("text") - F.length(F.replace("text", F.lit('"')))
-    broken = first.where(quotes % 2 == 1).select("file_path")
-    closing = Window.partitionBy("file_path").orderBy("at")
-    some = lines.join(broken, "file_path").withColumn(
-        "odd", F.sum(F.length("value") - F.length(F.replace("value", F.lit('"')))).over(closing) % 2
-    )
-    # Lines up to the first at which all quotes are closed.
-    some = some.withColumn("open", F.coalesce(F.min("odd").over(closing.rowsBetween(Window.unboundedPreceding, -1)), F.lit(1)))
-    joined = (
-        some.where("open = 1").groupBy("file_path")
-        .agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("at", "value"))), lambda x: x["value"]), "\n").alias("text"))
-    )
-    return first.where(quotes % 2 == 0).unionByName(joined)
+    lines = materialise(lines, "lines")
+    firsts = lines.where("block = 0").groupBy("file").agg(F.min("at").alias("at")).withColumn("first", F.lit(True))
+    marked = lines.join(firsts, ["file", "at"], "left").withColumn("record", F.regexp_replace("record", "^\ufeff", ""))
+    return materialise(marked.select("file", "record", F.coalesce("first", F.lit(False)).alias("first")), "records")
 
 
-def check_headers(spark: SparkSession, root: str, files: DataFrame, required: Sequence[str] = ()) -> DataFrame:
+def check_headers(
+    spark: SparkSession, root: str, files: DataFrame, required: Sequence[str] = (), records: DataFrame | None = None
+) -> DataFrame:
     """Adds the raw `header`, normalised `columns` and `problem` of each file: why it
-    cannot be loaded, else null."""
-    texts = _first_texts(spark, root)
-    at = _decoded("file_path", False)
-    found = files.withColumn("_at", at).join(texts.withColumnRenamed("file_path", "_at"), "_at", "left").drop("_at")
+    cannot be loaded, else null. `records` are those stored of the tree, if they are."""
+    records = stage_records(spark, root) if records is None else records
+    texts = records.where("first").select(F.col("file").alias("_file"), F.col("record").alias("text"))
+    own = file_id(_decoded("file_path", False))
+    found = files.withColumn("_file", own).join(texts, "_file", "left").drop("_file")
     schema = ", ".join(f"{name} {kind}" for name, kind in files.dtypes)
     found = found.mapInPandas(_first_records, f"{schema}, header array<string>").withColumn(
         "columns", F.transform("header", normalise_header)
@@ -109,43 +106,36 @@ def check_headers(spark: SparkSession, root: str, files: DataFrame, required: Se
     return found.withColumn("problem", problem)
 
 
-def read_headers(spark: SparkSession, root: str, files: DataFrame, required: Sequence[str] = ()) -> DataFrame:
+def read_headers(
+    spark: SparkSession, root: str, files: DataFrame, required: Sequence[str] = (), records: DataFrame | None = None
+) -> DataFrame:
     """The files that can be loaded, with `header` and `columns`."""
-    return check_headers(spark, root, files, required).where("problem is null").drop("problem")
+    return check_headers(spark, root, files, required, records).where("problem is null").drop("problem")
 
 
 def read_csv_groups(
-    spark: SparkSession,
-    root: str,
+    records: DataFrame,
     headers: DataFrame,
     null_tokens: Sequence[str] = config.NULL_TOKENS,
-    multi_line: bool = True,
 ) -> DataFrame:
     """All rows of the tree as stripped text under the union of all columns, with
-    `_SOURCE_FILE`, `_LEAGUE` and `_TEAM`. A column absent from a file is null
-    there. Quoted cells may hold line breaks; where none do, `multi_line=False`
-    lets Spark split large files."""
-    shape = headers.select(
-        F.size("columns").alias("width"), F.explode("columns").alias("column")
-    ).agg(F.max("width").alias("width"), F.sort_array(F.collect_set("column")).alias("columns")).first()
-    width, names = shape["width"] or 0, [c for c in shape["columns"] if c]
-    cells = [f"c{i}" for i in range(width)]
-    raw = (
-        spark.read.schema(", ".join(f"{c} string" for c in cells) or "c0 string")
-        .options(**_SCAN, header="true", enforceSchema="true", mode="PERMISSIVE")
-        .options(multiLine=str(multi_line).lower(), escape='"')
-        .csv(root)
-        .select(F.array(*cells).alias("cells"), _decoded("_metadata.file_path").alias("file_path"))
-    )
+    `_SOURCE_FILE`, `_LEAGUE` and `_TEAM`, from its stored records. A column absent from
+    a file is null there."""
+    shape = headers.select(F.explode("columns").alias("column")).agg(F.sort_array(F.collect_set("column"))).first()[0]
+    names = [c for c in shape or [] if c]
+    raw = parsed(records)
     # Where each column of the union stands in a file is worked out once per file.
     order = F.transform(
         F.split(F.lit("\n".join(names)), "\n"),
         lambda n: F.nullif(F.array_position("columns", n), F.lit(0)).cast("int"),
     )
     rows = raw.join(
-        headers.select(_decoded("file_path", False).alias("file_path"), order.alias("order"), "league", "team"),
-        "file_path",
-    )
+        headers.select(
+            file_id(_decoded("file_path", False)).alias("file"), _decoded("file_path", False).alias("file_path"),
+            order.alias("order"), "league", "team",
+        ),
+        "file",
+    )
     # Null tokens count as written; only 'nan' is also one after stripping.
     value = lambda c: F.when(~c.isin(*null_tokens) & (stripped(c) != "nan"), stripped(c))
     rows = rows.withColumn("values", F.transform("order", lambda i: value(F.try_element_at("cells", i))))
@@ -157,14 +147,6 @@ def read_csv_groups(
     )
 
 
-def _decoded(name: str, encoded: bool = True) -> Column:
-    # Listing and scan spell a path differently: scheme slashes and URL escapes.
-    path = F.col(name)
-    if encoded:
-        path = F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B")))
-    return F.regexp_replace(path, "^file:/+", "file:/")
-
-
 def classify_files(
     df: DataFrame,
     headers: DataFrame,
@@ -172,28 +154,26 @@ def classify_files(
     words: Sequence[str] = config.KEEPER_WORDS,
     markers: Sequence[str] = config.KEEPER_HEADERS,
 ) -> DataFrame:
-    """file_path and player_type: goalkeeper if any position names one, or else
+    """file_path, player_type and rows: goalkeeper if any position names one, or else
     if the header holds a keeper column; outfield otherwise."""
     plain = F.transform("header", lambda h: F.lower(stripped(h)))
     by_header = headers.select(
         _decoded("file_path", False).alias("file_path"),
         F.arrays_overlap(plain, F.array(*[F.lit(m) for m in markers])).alias("by_header"),
     )
-    if position in df.columns:
-        named = F.max(F.coalesce(F.lower(position).rlike("|".join(words)), F.lit(False)))
-        by_value = df.groupBy(F.col("_SOURCE_FILE").alias("file_path")).agg(named.alias("by_value"))
-        by_header = by_header.join(by_value, "file_path", "left")
-    else:
-        by_header = by_header.withColumn("by_value", F.lit(False))
+    position_cell = F.lower(position) if position in df.columns else F.lit(None).cast("string")
+    named = F.max(F.coalesce(position_cell.rlike("|".join(words)), F.lit(False)))
+    by_value = df.groupBy(F.col("_SOURCE_FILE").alias("file_path")).agg(named.alias("by_value"), F.count(F.lit(1)).alias("rows"))
     keeper = F.coalesce("by_value", F.lit(False)) | F.col("by_header")
-    return by_header.select(
-        "file_path", F.when(keeper, "goalkeeper").otherwise("outfield").alias("player_type")
+    return by_header.join(by_value, "file_path", "left").select(
+        "file_path", F.when(keeper, "goalkeeper").otherwise("outfield").alias("player_type"), F.coalesce("rows", F.lit(0)).alias("rows")
     )
 
 
 def add_lineage(df: DataFrame, types: DataFrame, batch_id: str) -> DataFrame:
     """Player type per file, batch id and load time."""
-    typed = df.join(types.withColumnRenamed("file_path", "_SOURCE_FILE"), "_SOURCE_FILE", "left")
+    named = types.select(F.col("file_path").alias("_SOURCE_FILE"), "player_type")
+    typed = df.join(named, "_SOURCE_FILE", "left")
     return typed.withColumnRenamed("player_type", "_PLAYER_TYPE").withColumns(
         {"_BATCH_ID": F.lit(batch_id), "_INGEST_TS": F.current_timestamp()}
     )
@@ -207,14 +187,40 @@ def ingest_csv_tree(
     null_tokens: Sequence[str] = config.NULL_TOKENS,
     multi_line: bool = True,
 ) -> DataFrame:
-    """Bronze rows of a whole tree.
+    """Bronze rows of a whole tree: its records are stored once, from which headers come,
+    and then its rows, of which the classifier reads just two columns."""
+    records = stage_records(spark, root, multi_line)
+    headers = materialise(read_headers(spark, root, scan_csv_tree(spark, root), required, records), "headers")
+    rows = materialise(read_csv_groups(records, headers, null_tokens), "rows")
+    return add_lineage(rows, classify_files(rows, headers), batch_id)
+
 
-    The CSV text is read once: rows are staged as Parquet in the shared folder,
-    from which the classifier reads just two columns.
+def load_csv_tree(
+    spark: SparkSession,
+    root: str,
+    path: str,
+    batch_id: str,
+    required: Sequence[str] = (),
+    null_tokens: Sequence[str] = config.NULL_TOKENS,
+    multi_line: bool = True,
+    columns: Sequence[str] = (),
+) -> dict:
+    """Append a whole tree to the bronze table at `path`, whose `columns` come first, and
+    return the load's statistics: files processed and skipped, rows loaded.
+
+    Rows are observed as they are written, and the classifier counts them by file as it
+    looks for positions: no pass over the table is needed to know what came in.
     """
-    headers = materialise(read_headers(spark, root, scan_csv_tree(spark, root), required), "headers")
-    rows = materialise(read_csv_groups(spark, root, headers, null_tokens, multi_line), "rows")
-    return add_lineage(rows, classify_files(rows, headers), batch_id)
+    files = materialise(scan_csv_tree(spark, root), "files")
+    records = stage_records(spark, root, multi_line)
+    headers = materialise(read_headers(spark, root, files, required, records), "headers")
+    rows = materialise(read_csv_groups(records, headers, null_tokens), "rows")
+    types = materialise(classify_files(rows, headers), "types")
+    seen = Observation(f"load {batch_id}")
+    bronze = align_schema(add_lineage(rows, types, batch_id), columns)
+    append_bronze(bronze.observe(seen, F.count(F.lit(1)).alias("loaded")), path)
+    processed = types.where("rows > 0").count()
+    return {"batch": batch_id, "processed": processed, "skipped": files.count() - processed, "loaded": seen.get["loaded"]}
 
 
 def load_stats(bronze: DataFrame, files: DataFrame | None = None) -> DataFrame:
