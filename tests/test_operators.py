@@ -176,3 +176,36 @@ def test_replay_over_hours_and_ties(spark):
     df = spark.createDataFrame(rows, "m string, c long, id long")
     got = {r["id"]: (r["delay_s"], r["replay_offset_s"]) for r in replay_offsets(df, "m", "c", "id", speed=1.0).collect()}
     assert got == {1: (0, 0), 2: (0, 0), 3: (3, 3), 4: (5, 8), 5: (1, 9), 6: (0, 0)}
+
+
+def test_stored_index_equals_a_search_of_the_whole_pool(spark, tmp_path):
+    import re
+
+    import numpy as np
+
+    from touchline.operators.index import NeighbourIndex
+    from touchline.operators.neighbours import similar_to
+
+    draw = np.random.default_rng(4)
+    centres = draw.normal(size=(12, 6))
+    rows = []
+    for k in range(600):
+        v = centres[k % 12] + draw.normal(size=6) * 0.05
+        role = [None, "GK", "DF"][k % 3]
+        rows.append((k, f"name {k // 2}", role, [float(x) for x in (np.round(v, 1) if k % 5 == 0 else v)], "kept"))
+    rows += [(1000, "zero", "GK", [0.0] * 6, "kept"), (1001, "Zero", "GK", [0.0] * 6, "kept")]
+    pool = spark.createDataFrame(rows, "id long, who string, part string, v array<double>, extra string")
+    columns = {"key": "id", "name": "who", "position": "part", "vector": "v"}
+    NeighbourIndex.build(pool, str(tmp_path / "index"), **columns, cell_rows=50)
+    index = NeighbourIndex(spark, str(tmp_path / "index"))
+    seen = []
+    for target in ("NAME 3", "name 100", "zero", "name 222"):
+        found = index.lookup(target, 7)
+        seen.append(index.visited)
+        want = similar_to(pool, target, 7, **columns)
+        assert set(found.columns) == {"id", "who", "part", "extra", "similarity_score"}
+        assert [(r["id"], r["similarity_score"]) for r in found.collect()] == [(r["id"], r["similarity_score"]) for r in want.collect()]
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert re.search(r"PartitionFilters: \[[^\]]*_block", plan)
+    assert seen[0][0] < seen[0][1] / 3  # most blocks are not read
+    assert index.lookup("nobody").count() == 0

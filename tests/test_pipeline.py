@@ -110,8 +110,8 @@ def test_quoted_line_breaks_are_read_by_several_tasks(spark, tmp_path, small_blo
 
 def test_lines_end_inside_or_outside_of_cells():
     for line, outside, inside in [
-        ("a,b", False, True), ('a,"b', True, False), ('a"b,c', False, False), ('"a""', True, True), ('"a"",b"', False, True),
-        ('"a"b"c,"', True, True), ('""', False, False), ('"', True, False), ("", False, True), (',"",', False, False),
+        ("a,b", False, True), ('a,"b"', False, False), ('a,"b', True, False), ('a"b,c', False, False), ('"a""', True, False),
+        ('"a"",b"', False, False), ('"a"b"c,"', True, True), ('""', False, True), ('"', True, False), ("", False, True), (',"",', False, True),
     ]:
         assert (csv_records.ends_open(line.encode(), False), csv_records.ends_open(line.encode(), True)) == (outside, inside), line
 

@@ -303,12 +303,12 @@ def _int_player_name_match(spark, sf_dir):
 
 @query("dim_season", oracle("dim_season"))
 def _dim_season(spark, sf_dir):
-    return gold.dim_season(silver.stg_players(bronze_players(spark, sf_dir)))
+    return gold.dim_season(silver.stg_players(warehouse(spark, sf_dir)["bronze_players"]))
 
 
 @query("dim_club", oracle("dim_club"))
 def _dim_club(spark, sf_dir):
-    return gold.dim_club(silver.stg_players(bronze_players(spark, sf_dir)))
+    return gold.dim_club(silver.stg_players(warehouse(spark, sf_dir)["bronze_players"]))
 
 
 # Several consumers: the layers below are stored, and this one is planned on them.

@@ -8,7 +8,8 @@ from touchline import config
 from touchline.catalog import derive, query, table
 from touchline.catalog.derived import for_duckdb
 from touchline.catalog.layers import rounded
-from touchline.operators.neighbours import similar_all, similar_to
+from touchline.operators.index import NeighbourIndex
+from touchline.operators.neighbours import similar_all
 from touchline.operators.scaling import fit, impute, transform, weighted_features
 from touchline.session import scratch_dir
 from touchline.sources.tables import export_csv, load_stats_table, save_stats
@@ -128,10 +129,11 @@ def _vectors(spark, sf_dir):
     ORDER BY score DESC, vec_id LIMIT {config.TOP_N}""",
 )
 def _similar_one(spark, sf_dir):
-    found = similar_to(
-        _vectors(spark, sf_dir), "VECTOR 0", key="vec_id", name="name", position="position", vector="embedding"
-    )
-    return rounded(found, ("similarity_score",))
+    """An index is stored, opened again and asked."""
+    path = scratch_dir(spark, "index")
+    columns = {"key": "vec_id", "name": "name", "position": "position", "vector": "embedding"}
+    NeighbourIndex.build(_vectors(spark, sf_dir), path, **columns)
+    return rounded(NeighbourIndex(spark, path).lookup("VECTOR 0"), ("similarity_score",))
 
 
 @query(
