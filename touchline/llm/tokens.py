@@ -3,7 +3,8 @@
 A text is cut at single spaces between two visible characters. There every supported
 tokenizer ends one pre-token and begins the next, so the ids of the text are the ids
 of its chunks in a row. Chunks repeat far more than texts do; each is given to the
-tokenizer library once and its ids are kept.
+tokenizer library once and its ids are kept. Strings of added tokens stay within a
+chunk and become their ids, as in the whole text.
 """
 
 from __future__ import annotations
@@ -16,118 +17,68 @@ import numpy as np
 from pyspark import Broadcast
 from pyspark.sql import SparkSession
 
-#: A character that no library takes for a space or for nothing.
-VISIBLE = re.compile("[^\\s\u180e\u200b-\u200f\u2060\ufeff]")
-ODD = frozenset(c for c in map(chr, range(1 << 16)) if not VISIBLE.match(c))
-#: Texts that are encoded before what they brought is known to the next ones.
-TEXTS = 64
-KEPT_CHUNKS = 200_000
+#: A space with visible characters on both sides. Characters that one library or
+#: another takes for a space or for nothing never count as visible.
+CUT = re.compile(" (?<=[^\\s᠎​-‏⁠﻿] )(?=[^\\s᠎​-‏⁠﻿])")
+KEPT_CHUNKS = 1_000_000
 KEPT_CHARS = 40
 
 
 class Encoder:
-    """Ids of whole texts as little-endian unsigned 32-bit bytes.
-
-    Chunks in use are kept in two generations: as soon as the younger one is full it
-    becomes the older one, from which what is met again is taken over.
-    """
+    """Ids of whole texts as little-endian unsigned 32-bit bytes."""
 
     def __init__(self, tokenizer_json: str, end_id: int | None = 0):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(tokenizer_json)
-        self.end = b"" if end_id is None else np.array([end_id], "<u4").tobytes()
         added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values() if t.content]
         #: Strings of added tokens, which the library looks for before all else.
         self.added = re.compile("|".join(map(re.escape, added))) if added else None
         self.spaced = [t for t in added if " " in t]
-        self.young: dict[str, bytes] = {}
-        self.old: dict[str, bytes] = {}
+        self.end = b"" if end_id is None else np.array([end_id], "<u4").tobytes()
+        self.known: dict[str, bytes] = {}
 
     def _whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
-    def _ids(self, chunks: list[str]) -> dict[str, bytes]:
+    def _ids(self, chunks: list[str]) -> list[bytes]:
         """Ids of each chunk, those without added tokens from one call to the library."""
-        out = {c: self._whole(c) for c in chunks if self.added and self.added.search(c)}
-        plain = [c for c in chunks if c not in out]
-        if plain:
-            found = self.tokenizer.encode_batch([plain], is_pretokenized=True, add_special_tokens=False)[0]
-            data = np.array(found.ids, "<u4").tobytes()
-            counts = np.bincount(np.array(found.word_ids, np.int64), minlength=len(plain))
-            ends = (np.cumsum(counts) * 4).tolist()
-            out.update(zip(plain, (data[a:b] for a, b in zip([0, *ends], ends))))
-        return out
-
-    def _chunks(self, pieces: list[str], unknown: list[int]) -> list[tuple[int, int, str]]:
-        """(first, end, chunk) for the unknown pieces: a space is a cut only between
-        visible characters, so pieces around another one are one chunk. Pieces with such
-        an end are never kept, hence all are among the unknown."""
-        out = []
-        for i in unknown:
-            piece = pieces[i]
-            if not piece or piece[-1] in ODD or (i and piece[0] in ODD):
-                break
-            out.append((i, i + 1, " " + piece if i else piece))
-        else:
-            return out
-        joined: set[int] = set()  # k: pieces k and k + 1 are not cut apart
-        for i in unknown:
-            piece = pieces[i]
-            if i and (not piece or piece[0] in ODD):
-                joined.add(i - 1)
-            if i + 1 < len(pieces) and (not piece or piece[-1] in ODD):
-                joined.add(i)
-        out, done = [], -1
-        for i in unknown:
-            if i <= done:
-                continue
-            first = end = i
-            while first - 1 in joined:
-                first -= 1
-            while end in joined:
-                end += 1
-            out.append((first, end + 1, (" " if first else "") + " ".join(pieces[first : end + 1])))
-            done = end
-        return out
+        if self.added and any(self.added.search(c) for c in chunks):
+            odd = {i: self._whole(c) for i, c in enumerate(chunks) if self.added.search(c)}
+            plain = iter(self._ids([c for i, c in enumerate(chunks) if i not in odd]))
+            return [odd[i] if i in odd else next(plain) for i in range(len(chunks))]
+        if not chunks:
+            return []
+        found = self.tokenizer.encode_batch([chunks], is_pretokenized=True, add_special_tokens=False)[0]
+        data = np.array(found.ids, "<u4").tobytes()
+        counts = np.bincount(np.array(found.word_ids, np.int64), minlength=len(chunks))
+        ends = (np.cumsum(counts) * 4).tolist()
+        return [data[a:b] for a, b in zip([0, *ends], ends)]
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Ids of each text and then the end id; a null text is an empty one."""
-        return [ids for at in range(0, len(texts), TEXTS) for ids in self._some(texts[at : at + TEXTS])]
-
-    def _some(self, texts: list[str | None]) -> list[bytes]:
-        out: list[list[bytes]] = []
-        wanted: dict[str, None] = {}
-        waiting: list[tuple[list, int, int, str]] = []
-        young, old = self.young, self.old
+        chunks: list[str] = []
+        ends = []
         for text in texts:
-            if not text or any(t in text for t in self.spaced):
-                out.append([self._whole(text)] if text else [])
-                continue
-            pieces = text.split(" ")
-            ids = list(map(young.get, pieces))
-            ids[0] = None  # a first piece has no space before it
-            unknown = [i for i, x in enumerate(ids) if x is None]
-            if old:
-                for i in unknown[1:]:
-                    if pieces[i] in old:
-                        ids[i] = young[pieces[i]] = old[pieces[i]]
-                unknown = [i for i in unknown if ids[i] is None]
-            for first, end, chunk in self._chunks(pieces, unknown):
-                ids[first:end] = [b""] * (end - first)
-                waiting.append((ids, first, end, chunk))
-                wanted[chunk] = None
-            out.append(ids)
-        if wanted:
-            found = self._ids(list(wanted))
-            for ids, first, end, chunk in waiting:
-                ids[first] = found[chunk]
-                if first and end == first + 1 and len(chunk) <= KEPT_CHARS and len(chunk) > 1 and chunk[1] not in ODD and chunk[-1] not in ODD:
-                    young[chunk[1:]] = found[chunk]
-        if len(young) > KEPT_CHUNKS:
-            self.young, self.old = {}, young
-        return [b"".join(ids) + self.end for ids in out]
+            if text and any(t in text for t in self.spaced):
+                chunks.append(text)
+            elif text:
+                first, *rest = CUT.split(text)
+                chunks.append(first)
+                chunks += [" " + c for c in rest]
+            ends.append(len(chunks))
+        ids = list(map(self.known.get, chunks))
+        missing = [i for i, x in enumerate(ids) if x is None]
+        if missing:
+            wanted = list({chunks[i] for i in missing})
+            found = dict(zip(wanted, self._ids(wanted)))
+            for i in missing:
+                ids[i] = found[chunks[i]]
+            if len(self.known) + len(found) > KEPT_CHUNKS:
+                self.known.clear()
+            self.known.update((c, x) for c, x in found.items() if len(c) <= KEPT_CHARS)
+        return [b"".join(ids[a:b]) + self.end for a, b in zip([0, *ends], ends)]
 
 
 _ENCODERS: dict[tuple[int, int | None], Encoder] = {}
