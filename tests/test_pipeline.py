@@ -1,6 +1,7 @@
 """Ingestion, the layers from files to recommendations, and the streams."""
 
 import random
+import re
 from collections import Counter
 
 import pytest
@@ -219,6 +220,14 @@ def test_layers_to_recommendations(spark, tmp_path):
     assert stg.where("competition = 'La Liga' AND club_country = 'ESP'").count() == stg.count()
     bridge = [(r["canonical_player_name"], r["player_from_market"]) for r in m["dim_player_bridge"].collect()]
     assert bridge == [("Éder Militão", "Éder Militão")]
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    m["dim_player"]
+    for name in ("dim_player", "fact_outfield_stats", "fact_goalkeeper_stats"):
+        plan = m.plan(name)._jdf.queryExecution().executedPlan().toString()
+        assert "Bucketed: true" in plan and "SortMergeJoin" in plan
+        assert not re.search(r"Exchange hashpartitioning\(player_name", plan), name
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
     out, keepers = m["mart_similarity_outfield"], m["mart_similarity_goalkeeper"]
     assert len(out.columns) == 24 and len(keepers.columns) == 20
     assert {r["player_name"] for r in keepers.collect()} == {"Al Keep", "Di Keep"}

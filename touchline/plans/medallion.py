@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from touchline import config
 from touchline.plans import gold, marts, recommend, silver
 from touchline.session import scratch_dir
-from touchline.sources.tables import refresh
+from touchline.sources.tables import refresh, refresh_bucketed
 
 # Each table by the function that plans it from the tables before it.
 PLANS = {
@@ -46,6 +46,10 @@ PLANS = {
 }
 
 
+#: Tables that lie in buckets, by the keys on which others join them or pick their latest rows.
+BUCKETS = {"stg_players": ["player_name"], "dim_player": ["player_name"]}
+
+
 class Medallion:
     """The tables of one run over two bronze feeds.
 
@@ -83,7 +87,10 @@ class Medallion:
 
     def __getitem__(self, name: str) -> DataFrame:
         if name not in self._stored:
-            self._stored[name] = refresh(self.plan(name), self._path(name))
+            if name in BUCKETS:
+                self._stored[name] = refresh_bucketed(self.plan(name), self._path(name), BUCKETS[name])
+            else:
+                self._stored[name] = refresh(self.plan(name), self._path(name))
         return self._stored[name]
 
 

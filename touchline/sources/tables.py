@@ -3,6 +3,7 @@ report export and fitted statistics."""
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -56,6 +57,18 @@ def refresh(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def refresh_bucketed(df: DataFrame, path: str, keys: Sequence[str]) -> DataFrame:
+    """Full refresh into as many buckets by `keys` as there are shuffle partitions, one
+    sorted file each: joins and windows on these keys then need no exchange. The layout is
+    known to this application's catalog; a plain read of `path` works anywhere."""
+    spark = df.sparkSession
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    name = f"bucketed_{uuid.uuid4().hex}"
+    writer = df.repartition(buckets, *keys).write.format("parquet").mode("overwrite").bucketBy(buckets, *keys).sortBy(*keys)
+    writer.option("path", path).option("parquet.block.size", str(ROW_GROUP_BYTES)).saveAsTable(name)
+    return spark.table(name)
+
+
 def export_csv(df: DataFrame, path: str, first: Sequence[str] = ()) -> None:
     """Report with the `first` columns leading, written by the executors."""
     ordered = [*first, *[c for c in df.columns if c not in first]]
