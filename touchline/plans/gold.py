@@ -73,8 +73,12 @@ def dim_player(stg: DataFrame, bridge: DataFrame) -> DataFrame:
     )
 
 
-def _with_player_and_club(rows: DataFrame, players: DataFrame, clubs: DataFrame) -> DataFrame:
-    rows = attach(rows, players, {"player_name": "player_name"}, {"player_key": "player_key"})
+def _with_player(rows: DataFrame, players: DataFrame) -> DataFrame:
+    """First of a fact's joins: both sides lie in buckets by this name."""
+    return attach(rows, players, {"player_name": "player_name"}, {"player_key": "player_key"})
+
+
+def _with_club(rows: DataFrame, clubs: DataFrame) -> DataFrame:
     return attach(rows, clubs, {"club": "club_name"}, {"club_key": "club_key"})
 
 
@@ -84,17 +88,17 @@ _KEYS = ("player_key", "club_key", "season_key", "player_name", "season", "club"
 def fact_outfield_stats(
     stg: DataFrame, players: DataFrame, clubs: DataFrame, seasons: DataFrame
 ) -> DataFrame:
-    rows = stg.where(~is_goalkeeper(F.col("player_position")))
+    rows = _with_player(stg.where(~is_goalkeeper(F.col("player_position"))), players)
     rows = attach_season_by_digits(rows, seasons, "season", {"season_key": "season_key"})
-    return _with_player_and_club(rows, players, clubs).select(*_KEYS, *config.OUTFIELD_FACT)
+    return _with_club(rows, clubs).select(*_KEYS, *config.OUTFIELD_FACT)
 
 
 def fact_goalkeeper_stats(
     stg: DataFrame, players: DataFrame, clubs: DataFrame, seasons: DataFrame
 ) -> DataFrame:
-    rows = stg.where(is_goalkeeper(F.col("player_position")))
+    rows = _with_player(stg.where(is_goalkeeper(F.col("player_position"))), players)
     rows = attach(rows, seasons, {"season": "season"}, {"season_key": "season_key"})
-    return _with_player_and_club(rows, players, clubs).select(*_KEYS, *config.GOALKEEPER_FACT)
+    return _with_club(rows, clubs).select(*_KEYS, *config.GOALKEEPER_FACT)
 
 
 def fact_player_season_stats(stg: DataFrame, seasons: DataFrame) -> DataFrame:
