@@ -44,10 +44,13 @@ class Encoder:
 
     def _ids(self, chunks: list[str]) -> list[bytes]:
         """Ids of each chunk, those without added tokens from one call to the library."""
-        if self.added and any(self.added.search(c) for c in chunks):
+        if self.added and self.added.search("\n".join(chunks)):
             odd = {i: self._whole(c) for i, c in enumerate(chunks) if self.added.search(c)}
-            plain = iter(self._ids([c for i, c in enumerate(chunks) if i not in odd]))
+            plain = iter(self._plain([c for i, c in enumerate(chunks) if i not in odd]))
             return [odd[i] if i in odd else next(plain) for i in range(len(chunks))]
+        return self._plain(chunks)
+
+    def _plain(self, chunks: list[str]) -> list[bytes]:
         if not chunks:
             return []
         found = self.tokenizer.encode_batch([chunks], is_pretokenized=True, add_special_tokens=False)[0]
