@@ -13,7 +13,7 @@ def _held(spark, path, schema="id long, v long"):
 def test_keyed_sink_opens_few_runs_after_many_batches(spark, tmp_path):
     path = str(tmp_path / "table")
     sink = KeyedSink(path, fan_out=3)
-    batches = 60
+    batches = 27
     for k in range(batches):
         # Ten new keys, one of the batch before, and now and then one of long ago.
         ids = [*range(10 * k, 10 * k + 10), 10 * k - 1, *([3 * k] if k % 7 == 0 else [])]
