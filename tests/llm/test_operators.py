@@ -77,6 +77,8 @@ def test_chunks_give_the_ids_of_whole_texts(monkeypatch):
     draw = np.random.default_rng(5)
     parts = ["a", "b", " ", "  ", "\n", "<|endoftext|>", "é", "\u200b", "'s", "12", "\t", "漢", " word", " other"]
     odd += ["".join(draw.choice(parts, int(draw.integers(1, 40)))) for _ in range(2000)]
+    near = [" x", " İx", " ÉÀ.\nÇa", " K", " e\u0301", " µ1", " ½", " “q”", " ­s", " \u1680o", " \u3000w", " 漢字", " " + "z" * 50, " 🙂"]
+    odd += ["".join(draw.choice(near, int(draw.integers(1, 30)))) for _ in range(2000)]
     for name in ("byte_bpe_50k.json", "word_bpe_49k.json"):
         encoder, plain = tokens.Encoder(Path(queries.vocabulary(name)).read_text()), Tokenizer.from_file(queries.vocabulary(name))
         for text, data in zip(odd, encoder.encode(odd)):

@@ -101,10 +101,13 @@ def _cut(shared: Broadcast, capacity: int, end_id: int | None, keep_ids: bool):
         kept: list[bytes] = []
         step = capacity * 4
         for batch in batches:
-            encoded = encoder(shared, end_id).encode(batch.column("text").to_pylist())
-            for doc_id, data in zip(batch.column("doc_id").to_pylist(), encoded):
+            values, counts = encoder(shared, end_id).encode_array(batch.column("text"))
+            encoded = memoryview(values.astype("<u4", copy=False)).cast("B")
+            ends = (np.cumsum(counts) * 4).tolist()
+            for doc_id, begin, end in zip(batch.column("doc_id").to_pylist(), [0, *ends], ends):
+                data = encoded[begin:end]
                 for k, at in enumerate(range(0, len(data), step)):
-                    part = data[at : at + step]
+                    part = bytes(data[at : at + step])
                     doc_ids.append(doc_id)
                     pieces.append((k, at // 4, len(part) // 4))
                     crc.append(zlib.crc32(part))

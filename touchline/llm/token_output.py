@@ -31,18 +31,16 @@ def _encode(shared: Broadcast, end_id: int | None):
         for batch in batches:
             if not batch.num_rows:
                 continue
-            ids = encoder(shared, end_id).encode(batch.column("text").to_pylist())
-            counts = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+            values, counts = encoder(shared, end_id).encode_array(batch.column("text"))
             ends = np.concatenate([[0], np.cumsum(counts)])
-            values = pa.py_buffer(b"".join(ids))
             arrays = [
-                pa.array(np.full(len(ids), part, np.int32)),
+                pa.array(np.full(len(counts), part, np.int32)),
                 batch.column("doc_id"),
                 pa.array(before + ends[:-1]),
                 pa.array(counts),
                 pa.ListArray.from_arrays(
                     pa.array(ends.astype(np.int32)),
-                    pa.Array.from_buffers(pa.int32(), int(ends[-1]), [None, values]),
+                    pa.array(values.view(np.int32)),
                 ),
             ]
             before += int(ends[-1])
