@@ -31,7 +31,9 @@ PLAIN = re.compile(" [!-~À-ÿ](?:[ \t\n\r!-~À-ÿ]*[!-~À-ÿ])?")
 KEPT_CHUNKS = 1_000_000
 KEPT_CHARS = 40
 #: Texts are gathered in blocks of about this many bytes.
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 2 << 20
+#: Chunks given to the library at once; its own records take some hundred bytes a token.
+CALL_CHUNKS = 8192
 
 #: First bytes of characters that always count as visible. Those left out (C2, E1, E2
 #: and EF among them) begin some blanks too; a text is not cut beside such a character.
@@ -136,9 +138,10 @@ class Encoder:
             inner = [c for c, x in zip(chunks, fits) if x]
             other = [c for c, x in zip(chunks, fits) if not x]
         for group, joined in ((inner, self.token_bytes is not None), (other, False)):
-            if group:
-                flat, counts = (joined and self._joined(group)) or self._ids(group)
-                self._append(group, flat, counts)
+            for at in range(0, len(group), CALL_CHUNKS):
+                part = group[at : at + CALL_CHUNKS]
+                flat, counts = (joined and self._joined(part)) or self._ids(part)
+                self._append(part, flat, counts)
 
     def _append(self, chunks: list[str], flat: np.ndarray, counts: np.ndarray) -> None:
         n = len(self.known)
@@ -184,7 +187,9 @@ class Encoder:
         starts = self.starts[number]
         sizes = self.starts[number + 1] - starts
         read = np.concatenate([[0], np.cumsum(sizes)])
-        values = self.ids[np.repeat(starts - read[:-1], sizes) + np.arange(read[-1])]
+        at = np.repeat(starts - read[:-1], sizes)
+        at += np.arange(len(at))
+        values = self.ids[at]
         for chunk in self.passing:
             del self.known[chunk]
         self.passing = []
