@@ -1,5 +1,10 @@
 """Streams that last: the keyed sink, ends of matches, counters and offsets."""
 
+import os
+import subprocess
+import sys
+from pathlib import Path
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -86,6 +91,31 @@ def test_matches_end_one_by_one_and_stay_ended(spark, tmp_path):
     assert len(stored) == 8
 
 
+PLAIN = """
+import sys
+sys.path.insert(0, sys.argv[1])
+from pyspark.sql import SparkSession
+home = sys.argv[2]
+spark = SparkSession.builder.master("local[2]").config("spark.ui.enabled", "false").config(
+    "spark.sql.shuffle.partitions", "2").config("spark.checkpoint.dir", home).getOrCreate()
+rows = [(k, u, "error" if k == 10 else "view") for u in range(2) for k in range(u * 7, u * 7 + 6)]
+spark.createDataFrame(rows, "event_id long, user_id long, event_type string").coalesce(1).write.parquet(home + "/events.parquet")
+from touchline import catalog
+catalog.load_all()
+found = catalog.QUERIES["stream_match_end"](spark, home).collect()
+print("pages", sorted((r["page"], r["last_page"]) for r in found))
+"""
+
+
+def test_matches_end_in_a_session_that_is_not_the_librarys_own(tmp_path):
+    """The state store is Spark's default one, and no process but the driver finds the package by itself."""
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    run = [sys.executable, "-c", PLAIN, str(Path(__file__).resolve().parents[1]), str(tmp_path)]
+    done = subprocess.run(run, env=env, cwd=tmp_path, capture_output=True, text=True, timeout=300)
+    expected = [(k, False) for k in range(6)] + [(k, k == 10) for k in range(7, 11)]
+    assert f"pages {expected}" in done.stdout, done.stderr[-3000:]
+
+
 def test_counts_hold_over_more_batches_than_reports_are_kept(spark, tmp_path):
     from touchline.streaming import live
     from touchline.streaming.counters import count_events, totals
