@@ -1,4 +1,5 @@
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -133,6 +134,26 @@ def test_best_match_equals_all_pairs(spark, chunk):
     assert got == want, (sorted(map(str, got - want))[:3], sorted(map(str, want - got))[:3])
 
 
+def test_floors_are_reached_and_spare_comparisons(spark, monkeypatch):
+    """A name whose counterpart is in the market compares its letters with few others."""
+    from touchline.operators import matching
+
+    rows = [(f"red bolt {n * 7919 % 100003:06d}", f"club {n % 5}") for n in range(400)]
+    shape = "name string, team string"
+    left = names_with_blocks(spark.createDataFrame([(n, "club 9") for n, _ in rows], shape), "name", "team")
+    right = names_with_blocks(spark.createDataFrame(rows, shape), "name", "team")
+    floors = matching._with_floor(left.select("block", "clean", "same"), right).collect()
+    assert len(floors) == 400 and min(r["floor"] for r in floors) >= 7500
+    calls = []
+    plain = matching.similarity_points
+    monkeypatch.setattr(matching, "similarity_points", lambda a, b: calls.append(0) or plain(a, b))
+    data = [(r["clean"], r["same"], r["floor"]) for r in floors]
+    pdf = pd.DataFrame(data, columns=["clean", "same", "floor"])
+    out = matching._best_of_chunk(pdf, right.toPandas())
+    assert set(zip(out["p_clean"], out["m_clean"])) == {(n, n) for n, _ in rows}
+    assert len(calls) < 400 * 20
+
+
 def test_bridge_thresholds(spark):
     df = spark.createDataFrame(
         [("A", "a", "t", "t", 88, 86), ("B", "b", "t", "t", 87, 100), ("C", "c", "t", "t", 100, 85)],
