@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame
 
 from touchline import config
 from touchline.plans import gold, marts, recommend, silver
-from touchline.session import scratch_dir
+from touchline.session import compiled_wide, scratch_dir
 from touchline.sources.tables import refresh, refresh_bucketed
 
 # Each table by the function that plans it from the tables before it.
@@ -63,6 +63,7 @@ class Medallion:
         self, players: DataFrame, market: DataFrame, warehouse: str | None = None,
         stored_bronze: bool = False,
     ):
+        compiled_wide(players.sparkSession)
         self.bronze = {"players": players, "market": market}
         self.warehouse = warehouse or scratch_dir(players.sparkSession, "warehouse")
         self._stored: dict[str, DataFrame] = {}
