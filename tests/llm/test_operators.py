@@ -451,6 +451,28 @@ def test_quality(spark, docs, none):
     assert classify(none, labels).count() == 0
 
 
+def test_quality_learns_from_every_labelled_row(spark):
+    from pyspark.sql import functions as F
+
+    from touchline.llm.common import row_key
+    from touchline.llm.quality import features, held_out, learn, with_features
+
+    texts = [(k, f"{'GO!! ' * (k % 7) if k % 9 == 0 else ''}some plain words of text {k} " * (1 + k % 11)) for k in range(400)]
+    table = spark.createDataFrame(texts, "doc_id long, text string")
+    labels = spark.createDataFrame([(k, int(k % 9 != 0)) for k, _ in texts], "doc_id long, quality int")
+    known = [(r["doc_id"], r["text"]) for r in table.where(~held_out(F.col("doc_id"))).collect()]
+    x = np.array([features(t.encode()) for _, t in known])
+    y = np.array([int(k % 9 != 0) for k, _ in known])
+    for labelled in (30, 1000):
+        model = learn(with_features(table.withColumn("row", row_key())), labels, labelled)
+        assert np.allclose(model.mean, x.mean(axis=0)) and np.allclose(model.spread, x.std(axis=0) + 1e-9)
+        scores = (x - model.mean) / model.spread @ model.weights
+        assert np.isclose(model.threshold, np.quantile(scores, (y == 0).mean()))
+        assert scores[y == 1].mean() > scores[y == 0].mean() + 1
+    one = learn(with_features(table.withColumn("row", row_key())), labels.where("quality = 1"), 30)
+    assert set(one.weights) == {0.0} and one.threshold == 0.0
+
+
 PATTERNS = {
     "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",
     "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",

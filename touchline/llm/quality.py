@@ -7,17 +7,25 @@ their features. A quantile of the scores then parts what is kept from what is no
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from collections.abc import Iterator
+from dataclasses import dataclass, replace
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from touchline.llm.common import each_batch, materialise, row_key
 
-#: Labelled rows that the weights are learnt from, at most: those of least hash of id.
+#: Labelled rows that are paired with each other: so many are fitted at once, and of more
+#: every chunk of about as many has pairs of its own, over which the loss is summed.
 LABELLED = 20_000
 PAIRS = 200_000
+#: Rows of the rarer label in a chunk, about, for which its rows are in several chunks;
+#: steps of the fit over chunks, at most.
+RARE = 100
+STEPS = 25
+DECAY = 1e-4
 NAMES = (
     "words", "word_length", "upper", "digits", "stops", "marks", "bars", "signs", "other_marks",
     "distinct_words", "repeated_lines", "worst_marks", "worst_upper", "worst_repeat", "marked_words", "lines",
@@ -137,12 +145,16 @@ def fit(x: np.ndarray, label: np.ndarray, pairs: int = PAIRS, seed: int = 0) ->
     return Model(mean.tolist(), spread.tolist(), weights.tolist(), threshold, 1.0)
 
 
-def scored(f: Column, model: Model) -> Column:
-    """0 to 1; a half is the threshold."""
+def linear(f: Column, model: Model) -> Column:
     total = F.lit(0.0)
     for k, (m, s, w) in enumerate(zip(model.mean, model.spread, model.weights)):
         total += (f[k] - m) / s * w
-    return 1 / (1 + F.exp(-(total - model.threshold) / model.scale))
+    return total
+
+
+def scored(f: Column, model: Model) -> Column:
+    """0 to 1; a half is the threshold."""
+    return 1 / (1 + F.exp(-(linear(f, model) - model.threshold) / model.scale))
 
 
 def held_out(doc_id: Column) -> Column:
@@ -150,24 +162,109 @@ def held_out(doc_id: Column) -> Column:
 
 
 def learn(rows: DataFrame, labels: DataFrame, labelled: int = LABELLED) -> Model:
-    """A model from labelled rows that are not held out; of more than `labelled` such
-    rows those of least hash of their id. Only about as many rows reach the driver: the
-    others are left out by a threshold of the hash before any task sends rows."""
+    """A model from all labelled rows that are not held out. Up to `labelled` of them are
+    fitted by the driver; more are dealt by a hash into chunks of about that size, which
+    stay with the tasks: what the driver gets of a chunk is the sum over its pairs."""
     known = labels.where("doc_id is not null and quality is not null").where(~held_out(F.col("doc_id")))
     known = known.select(F.col("doc_id").cast("long").alias("doc_id"), "quality")
     found = materialise(rows.join(known, "doc_id").select("f", "quality", F.xxhash64("doc_id").alias("h"), "row"), "labelled")
-    total, share = found.count(), 1.1
-    while True:
-        least = min(2**63 - 1, int(-(2**63) + 2**64 * (share * labelled / max(total, 1))))
-        chosen = found.where(F.col("h") <= least).orderBy("h", "row", "quality").limit(labelled).collect()
-        if len(chosen) >= min(labelled, total):
-            break
-        share *= 2
+    total = found.count()
+    if total > labelled:
+        return fit_chunks(found, total, labelled)
+    chosen = found.orderBy("h", "row", "quality").collect()
     if not chosen:
         return Model([0.0] * len(NAMES), [1.0] * len(NAMES), [0.0] * len(NAMES), 0.0, 1.0)
     return fit(np.array([r["f"] for r in chosen]), np.array([r["quality"] for r in chosen]))
 
 
+def fit_chunks(found: DataFrame, total: int, chunk_rows: int, pairs: int = PAIRS) -> Model:
+    """As `fit`, over all rows of `found` (f, quality, h, row): moments and the quantile are
+    those of all rows, and the loss is that of `pairs` preference pairs in every chunk."""
+    good = F.col("quality") == 1
+    moments = [fn(F.col("f")[k]) for fn in (F.avg, F.stddev_pop) for k in range(len(NAMES))]
+    n_good, *values = found.agg(F.count(F.when(good, 1)), *moments).first()
+    mean, spread = np.array(values[: len(NAMES)]), np.array(values[len(NAMES) :]) + 1e-9
+    weights = np.zeros(len(NAMES))
+    if n_good in (0, total):
+        return Model(mean.tolist(), spread.tolist(), weights.tolist(), 0.0 if n_good else 1.0, 1.0)
+    chunks = -(-total // chunk_rows)
+    copies = {k: min(chunks, -(-RARE * chunks // n)) for k, n in ((True, n_good), (False, total - n_good))}
+    dealt = found.withColumn("good", good).withColumn(
+        "copy", F.explode(F.sequence(F.lit(0), F.when(good, copies[True] - 1).otherwise(copies[False] - 1)))
+    )
+    chunk = F.pmod(F.xxhash64("h", "row") + F.col("copy"), F.lit(chunks))
+    dealt = dealt.select(chunk.alias("chunk"), "good", "h", "row", "f")
+    # One row per chunk: its numbers by label, packed, as every step reads them again.
+    packed = materialise(dealt.groupBy("chunk").applyInPandas(_pack, "chunk long, better binary, worse binary"), "chunks")
+
+    def pass_over(weights: np.ndarray) -> tuple[float, np.ndarray, np.ndarray]:
+        sums = packed.mapInArrow(_loss_sums(mean, spread, weights, pairs), "sums array<double>").collect()
+        n, loss, *rest = np.sum([r["sums"] for r in sums], axis=0)
+        gradient, curve = np.array(rest[: len(weights)]) / n, np.array(rest[len(weights) :]).reshape(len(weights), -1) / n
+        return (
+            loss / n + DECAY / 2 * float(weights @ weights), gradient + DECAY * weights, curve + DECAY * np.eye(len(weights))
+        )
+
+    at = pass_over(weights)
+    step = np.linalg.solve(at[2], at[1])
+    for _ in range(STEPS):
+        after = pass_over(weights - step)
+        if after[0] > at[0]:
+            step = step / 2
+            continue
+        done = at[0] - after[0] < 1e-6
+        weights, at = weights - step, after
+        if done:
+            break
+        step = np.linalg.solve(at[2], at[1])
+    model = Model(mean.tolist(), spread.tolist(), weights.tolist(), 0.0, 1.0)
+    threshold = quantile(found.select(linear(F.col("f"), model).alias("s")), (total - n_good) / total, total)
+    return replace(model, threshold=threshold)
+
+
+def _pack(rows: pd.DataFrame) -> pd.DataFrame:
+    rows = rows.sort_values(["h", "row"], kind="stable")
+    parts = [np.array(rows["f"][rows["good"] == k].tolist(), np.float64).tobytes() for k in (True, False)]
+    return pd.DataFrame([(rows["chunk"].iloc[0], *parts)], columns=["chunk", "better", "worse"])
+
+
+def _loss_sums(mean: np.ndarray, spread: np.ndarray, weights: np.ndarray, pairs: int):
+    """For mapInArrow over packed chunks: number of pairs, loss, its gradient and curvature."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in batch.to_pylist():
+                better, worse = ((np.frombuffer(row[k]).reshape(-1, len(mean)) - mean) / spread for k in ("better", "worse"))
+                if not len(better) or not len(worse):
+                    continue
+                draw = np.random.default_rng(row["chunk"])
+                gap = better[draw.integers(0, len(better), pairs)] - worse[draw.integers(0, len(worse), pairs)]
+                ahead = np.clip(gap @ weights, -50, 50)
+                wrong = 1 / (1 + np.exp(ahead))
+                curve = gap.T @ (gap * (wrong * (1 - wrong))[:, None])
+                sums = np.r_[pairs, np.log1p(np.exp(-ahead)).sum(), -(wrong @ gap), curve.ravel()]
+                yield pa.RecordBatch.from_arrays([pa.array([sums.tolist()], pa.list_(pa.float64()))], ["sums"])
+
+    return run
+
+
+def quantile(scores: DataFrame, share: float, total: int) -> float:
+    """The exact quantile of column `s`, between two values as numpy has it: a sketch
+    brackets it, and only values within the bracket are counted."""
+    place = share * (total - 1)
+    first = int(place)
+    for slack in (1e-3, 1e-2, 1.0):
+        ends = [max(0.0, share - slack), min(1.0, share + slack)]
+        low, high = scores.agg(F.percentile_approx("s", ends, 10_000)).first()[0]
+        below = scores.where(F.col("s") < low).count()
+        held = scores.where(F.col("s").between(low, high)).groupBy("s").count().orderBy("s").collect()
+        upto = below + np.cumsum([r["count"] for r in held])
+        if below <= first and min(first + 1, total - 1) < upto[-1]:
+            break
+    a, b = (held[int(np.searchsorted(upto, k, side="right"))]["s"] for k in (first, min(first + 1, total - 1)))
+    return a + (b - a) * (place - first)
+
+
 def classify(docs: DataFrame, labels: DataFrame, labelled: int = LABELLED) -> DataFrame:
     """(doc_id, row, held_out, score, predicted) for every row of `docs` (doc_id, text).
 
