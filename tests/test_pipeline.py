@@ -300,3 +300,29 @@ def test_messages_round_trip(spark):
     assert {(r["topic"], "topic" in r["value"]) for r in topics} == {("t", False)}
     back = {r["id"]: (r["x"], r["is_goal"]) for r in live.decode_events(packed).collect()}
     assert back == {0: (1.5, True), 1: (None, True), 2: (1.5, True)}
+
+
+def test_feed_of_one_row_group_is_dealt_to_all_tasks(spark, tmp_path):
+    """Wide rows are made by many tasks, and a dimension that needs few columns stores no feed."""
+    from touchline.catalog import QUERIES, layers, load_all
+
+    load_all()
+    home = str(tmp_path)
+    tables = {
+        "lineitem": spark.range(200).selectExpr(
+            "id AS l_orderkey", "id % 5 AS l_partkey", "id % 3 AS l_suppkey", "CAST(id % 5 + 1 AS INT) AS l_linenumber",
+            "CAST(1000 + id AS DOUBLE) AS l_extendedprice", "TIMESTAMP '2020-05-01 00:00:00' AS l_shipdate"),
+        "part": spark.range(5).selectExpr(
+            "id AS p_partkey", "'red bolt' AS p_name", "'Brand#1' AS p_brand", "'SMALL' AS p_type", "CAST(1 AS INT) AS p_size"),
+        "supplier": spark.range(3).selectExpr("id AS s_suppkey", "id AS s_nationkey"),
+        "nation": spark.range(3).selectExpr("id AS n_nationkey", "'LAND' || id AS n_name", "id AS n_regionkey"),
+    }
+    for name, rows in tables.items():
+        rows.coalesce(1).write.parquet(f"{home}/{name}.parquet")
+    feed = layers.bronze_players(spark, home)
+    assert feed.count() == 200
+    assert feed.select(F.spark_partition_id()).distinct().count() > 1
+    found = QUERIES["dim_season"](spark, home).collect()
+    assert {r["season"] for r in found} == {"2020-2021", "bad"}
+    assert len(QUERIES["dim_club"](spark, home).collect()) == 3
+    assert not [k for k in layers._WAREHOUSES if k[1] == home]
