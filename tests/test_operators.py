@@ -154,6 +154,37 @@ def test_floors_are_reached_and_spare_comparisons(spark, monkeypatch):
     assert len(calls) < 400 * 20
 
 
+def test_points_of_many_pairs_are_those_of_each():
+    from touchline.functions.jaro import coded, similarity_points_of
+
+    rng = np.random.default_rng(4)
+    texts = ["".join(rng.choice(list("abc é😀"), n)) for n in (0, 1, 2, 3, 5, 8, 17, 40, 90) for _ in range(12)]
+    texts += ["large ring 123", "large ring 321", "dwayne", "duane"]
+    row, col = (x.ravel() for x in np.meshgrid(np.arange(len(texts)), np.arange(len(texts))))
+    got = similarity_points_of(coded(texts), coded(texts), row, col)
+    assert got.tolist() == [similarity_points(texts[i], texts[j]) for i, j in zip(row.tolist(), col.tolist())]
+
+
+def test_names_of_a_hot_block_that_share_too_little_are_bounded_together(spark, monkeypatch):
+    """Two thousand names of one block, in kinds of few common letters: most pairs get no
+    bound of their own, and the result is that of all pairs."""
+    from touchline.operators import matching
+
+    kinds = [f"the {a}{b}" for a in ("jug", "wick", "fox") for b in ("mmm", "zzz", "kkk")]
+    names = [f"{kinds[n % 9]} {n:04d}" for n in range(1800)]
+    left = pd.DataFrame({"clean": [f"{n}5" for n in names], "same": "x fc", "floor": 8700})
+    right = pd.DataFrame({"name": names, "team": "X FC", "clean": names, "same": "x fc"})
+    bounded = []
+    plain = matching._name_bounds
+    monkeypatch.setattr(matching, "_name_bounds", lambda s, n, m: bounded.append(s.size) or plain(s, n, m))
+    out = matching._best_of_chunk(left, right)
+    assert sum(bounded) < 1800 * 1800 / 4
+    found = {r.p_clean: (r.m_clean, r.name_sim) for r in out.itertuples()}
+    for n in left["clean"][::90]:
+        best = min(names, key=lambda m: (-similarity_points(n, m), m))
+        assert found[n] == (best, similarity_points(n, best))
+
+
 def test_bridge_thresholds(spark):
     df = spark.createDataFrame(
         [("A", "a", "t", "t", 88, 86), ("B", "b", "t", "t", 87, 100), ("C", "c", "t", "t", 100, 85)],
