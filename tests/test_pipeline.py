@@ -326,3 +326,32 @@ def test_feed_of_one_row_group_is_dealt_to_all_tasks(spark, tmp_path):
     assert {r["season"] for r in found} == {"2020-2021", "bad"}
     assert len(QUERIES["dim_club"](spark, home).collect()) == 3
     assert not [k for k in layers._WAREHOUSES if k[1] == home]
+
+
+def test_facts_and_marts_store_no_wide_table(spark, tmp_path):
+    """Facts and marts compute the columns they need; only narrow tables are stored, and the
+    rows are those of a warehouse that stores every table."""
+    from touchline.catalog import QUERIES, layers, load_all
+
+    load_all()
+    home = str(tmp_path)
+    tables = {
+        "lineitem": spark.range(300).selectExpr(
+            "id AS l_orderkey", "id % 30 AS l_partkey", "id % 3 AS l_suppkey", "CAST(id % 5 + 1 AS INT) AS l_linenumber",
+            "CAST(1000 + id AS DOUBLE) AS l_extendedprice", "TIMESTAMP '2020-05-01 00:00:00' AS l_shipdate"),
+        "part": spark.range(30).selectExpr(
+            "id AS p_partkey", "'red bolt' AS p_name", "'Brand#1' AS p_brand",
+            "IF(id % 2 = 0, 'ECONOMY', 'SMALL') AS p_type", "CAST(id AS INT) AS p_size"),
+        "supplier": spark.range(3).selectExpr("id AS s_suppkey", "id AS s_nationkey"),
+        "nation": spark.range(3).selectExpr("id AS n_nationkey", "'LAND' || id AS n_name", "id AS n_regionkey"),
+    }
+    for name, rows in tables.items():
+        rows.coalesce(1).write.parquet(f"{home}/{name}.parquet")
+    full = Medallion(layers.bronze_players(spark, home), layers.bronze_market(spark, home), f"{home}/wh")
+    for name in ("fact_outfield_stats", "fact_goalkeeper_stats", "mart_similarity_goalkeeper"):
+        got = QUERIES[name](spark, home)
+        mart = layers.config.GOALKEEPER_MART if name.startswith("mart") else ()
+        want = layers.rounded(full.plan(name), mart)
+        assert got.count() and got.exceptAll(want).count() == want.exceptAll(got).count() == 0, name
+    stored = set(layers.warehouse(spark, home)._stored)
+    assert "dim_player" in stored and not stored & set(layers.WIDE)
