@@ -7,6 +7,7 @@ from collections import Counter
 from pathlib import Path
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 
@@ -602,3 +603,24 @@ def test_pipeline(spark):
     assert {r["doc_id"] for r in packed} == set(before)
     whole = corpus_pipeline.run(spark, str(DATA))
     assert sorted((r["doc_id"], r["piece"], r["ids_crc32"]) for r in whole.collect()) == sorted((r["doc_id"], r["piece"], r["ids_crc32"]) for r in packed)
+
+
+def test_shards_of_repeated_passages_stay_small(monkeypatch):
+    """A task sorts about a million bytes at a time; two tasks of an executor fit its memory."""
+    from touchline.llm import repeats
+
+    sorted_bytes = []
+    monkeypatch.setattr(repeats, "repeated_starts", lambda p, n: sorted_bytes.append(sum(map(len, p))) or [np.zeros(len(x) - n + 1, bool) for x in p])
+    rows = [{"anchor": k, "kind": 0, "copies": 1, "piece": bytes(300)} for k in range(12_000)]
+    list(repeats._sorted_shards(200)(iter([pa.RecordBatch.from_pylist(rows)])))
+    assert sum(sorted_bytes) == 12_000 * 300 and max(sorted_bytes) <= 1_000_300
+
+
+def test_chunks_are_told_inner_by_their_ends():
+    from touchline.llm.tokens import INNER, surely_inner
+
+    chunks = [" a", " ab,c", " é", "a", " ", "", "  a", " a ", "\u00a0a", " a\u200b", " a\nb", " \u3000", " 好", " a\n", " \U0001f600"]
+    sure = surely_inner(pa.array(chunks, pa.string()))
+    assert [c for c, x in zip(chunks, sure) if x] == [" a", " ab,c", " é", " a\nb", " 好", " \U0001f600"]
+    assert all(INNER.fullmatch(c) for c, x in zip(chunks, sure) if x)
+    assert surely_inner(pa.array([], pa.string())).tolist() == []

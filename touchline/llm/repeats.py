@@ -22,9 +22,9 @@ from touchline.llm.common import each_batch, materialise, row_key
 from touchline.llm.induced import repeated_starts
 
 ANCHOR = 64
-#: Bytes of pieces in one shard, about; and kinds of pieces of one anchor beyond which
+#: Bytes of pieces in one shard, about (sorting takes some 120 bytes for each); and kinds of pieces of one anchor beyond which
 #: its strings are counted one by one instead, over all tasks.
-SHARD_BYTES = 4_000_000
+SHARD_BYTES = 1_000_000
 KINDS = 2000
 #: Bytes of text hashed at once.
 BLOCK = 1 << 20
