@@ -49,10 +49,25 @@ def cuts(data: np.ndarray) -> np.ndarray:
     at = np.flatnonzero(data == 0x20)
     at = at[(at > 0) & (at < len(data) - 1)]
     at = at[_VISIBLE[data[at + 1]]]
-    lead = at - 1
+    return at[_VISIBLE[data[_lead(data, at - 1)]]]
+
+
+def _lead(data: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Where the characters begin that the bytes at `at` belong to."""
     for _ in range(3):  # back over the later bytes of a character
-        lead = np.where((data[lead] & 0xC0 == 0x80) & (lead > 0), lead - 1, lead)
-    return at[_VISIBLE[data[lead]]]
+        at = np.where((data[at] & 0xC0 == 0x80) & (at > 0), at - 1, at)
+    return at
+
+
+def surely_inner(chunks: pa.StringArray) -> np.ndarray:
+    """Which chunks are a space between visible characters by their first and last bytes;
+    each of them matches `INNER`, though some others do too."""
+    ends = np.frombuffer(chunks.buffers()[1], np.int32)[: len(chunks) + 1]
+    data = np.frombuffer(chunks.buffers()[2] or b"", np.uint8)
+    out = np.diff(ends) > 1
+    first, last = ends[:-1][out], ends[1:][out] - 1
+    out[out] = (data[first] == 0x20) & _VISIBLE[data[first + 1]] & _VISIBLE[data[_lead(data, last)]]
+    return out
 
 
 class Encoder:
@@ -124,24 +139,32 @@ class Encoder:
         flat = np.array(self.tokenizer.encode_batch_fast(["".join(chunks)], add_special_tokens=False)[0].ids, np.uint32)
         read = np.cumsum(self.token_bytes[flat])
         texts = chunks if self.blanks_count else ["".join(c.split()) for c in chunks]
-        wanted = np.cumsum([len(c.encode()) for c in texts])
+        wanted = np.cumsum(pc.binary_length(pa.array(texts, pa.string())).to_numpy().astype(np.int64))
         last = np.searchsorted(read, wanted)
         if not len(read) or read[-1] != wanted[-1] or (read[last] != wanted).any():
             return None
         return flat, np.diff(last, prepend=-1)
 
-    def _add(self, chunks: list[str]) -> None:
-        """Ids of new chunks go behind those kept."""
-        inner, other = chunks, []
-        if self.token_bytes is not None:
-            fits = [bool(self.inner.fullmatch(c)) and not (self.added and self.added.search(c)) for c in chunks]
-            inner = [c for c, x in zip(chunks, fits) if x]
-            other = [c for c, x in zip(chunks, fits) if not x]
-        for group, joined in ((inner, self.token_bytes is not None), (other, False)):
+    def _add(self, chunks: list[str]) -> np.ndarray:
+        """Ids of new chunks go behind those kept; gives their numbers."""
+        fits = np.zeros(len(chunks), bool)
+        if self.token_bytes is not None and chunks:
+            if self.inner is INNER:
+                fits = surely_inner(pa.array(chunks, pa.string()))
+            for i in np.flatnonzero(~fits).tolist():
+                fits[i] = bool(self.inner.fullmatch(chunks[i]))
+            if self.added and self.added.search("\n".join(chunks)):
+                for i in np.flatnonzero(fits).tolist():
+                    fits[i] = not self.added.search(chunks[i])
+        number = np.empty(len(chunks), np.int64)
+        for which, joined in ((np.flatnonzero(fits), True), (np.flatnonzero(~fits), False)):
+            number[which] = len(self.known) + np.arange(len(which))
+            group = [chunks[i] for i in which.tolist()]
             for at in range(0, len(group), CALL_CHUNKS):
                 part = group[at : at + CALL_CHUNKS]
                 flat, counts = (joined and self._joined(part)) or self._ids(part)
                 self._append(part, flat, counts)
+        return number
 
     def _append(self, chunks: list[str], flat: np.ndarray, counts: np.ndarray) -> None:
         n = len(self.known)
@@ -209,10 +232,10 @@ class Encoder:
         if len(missing):
             new = [distinct[i] for i in missing.tolist()]
             # Long chunks hardly repeat: they come last and go after the block.
-            self.passing = [c for c in new if len(c) > KEPT_CHARS]
-            self._add([c for c in new if len(c) <= KEPT_CHARS])
-            self._add(self.passing)
-            number[missing] = np.fromiter(map(self.known.__getitem__, new), np.int64, len(new))
+            long = np.fromiter(map(len, new), np.int64, len(new)) > KEPT_CHARS
+            number[missing[~long]] = self._add([new[i] for i in np.flatnonzero(~long).tolist()])
+            self.passing = [new[i] for i in np.flatnonzero(long).tolist()]
+            number[missing[long]] = self._add(self.passing)
         return number
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
