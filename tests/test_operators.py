@@ -102,6 +102,35 @@ def test_similar_all_equals_all_pairs(spark, n, block):
     assert {(r[0], r[1], r[2], round(r[3], 9) + 0.0) for r in got} == _brute(rows, 5)
 
 
+def test_similar_all_deals_each_vector_once(spark, monkeypatch):
+    """Vectors that all resemble one another a little: every block visits all others."""
+    from touchline.operators import neighbours
+
+    draw = np.random.default_rng(8)
+    rows = [(f"k{i:04d}", f"p{i}", "GK FW MF DF".split()[i % 4], draw.normal(size=12).tolist()) for i in range(400)]
+    df = spark.createDataFrame(rows, "player_key string, player_name string, primary_position string, features array<double>")
+    dealt, listed, deal, shorten = [], [], neighbours.spread_by, neighbours._shortlist
+    monkeypatch.setattr(neighbours, "spread_by", lambda d, *keys: dealt.append(d) or deal(d, *keys))
+    monkeypatch.setattr(neighbours, "_shortlist", lambda d, *rest: listed.append(d) or shorten(d, *rest))
+    got = similar_all(df, 5, block_rows=10).select("name_key", "rank", "match_key", "similarity_score").collect()
+    assert {(r[0], r[1], r[2], round(r[3], 9) + 0.0) for r in got} == _brute(rows, 5)
+    assert sum(d.count() for d in dealt) == len(rows)
+    assert listed[-1].count() <= len(rows) * neighbours.STREAMS * 6
+
+
+@pytest.mark.parametrize("mismatch", [0.0, -0.5, 1.5])
+def test_similar_all_takes_any_penalty(spark, mismatch):
+    draw = np.random.default_rng(9)
+    rows = [(i, f"p{i}", "GK FW".split()[i % 2], draw.normal(size=3).tolist()) for i in range(60)]
+    df = spark.createDataFrame(rows, "player_key long, player_name string, primary_position string, features array<double>")
+    got = similar_all(df, 3, mismatch=mismatch, block_rows=8).select("query_key", "rank", "match_key", "similarity_score").collect()
+    for r in rows:
+        mine = [x for x in similar_to(df, r[1], 3, mismatch=mismatch).collect()] if r[0] % 20 == 0 else None
+        if mine:
+            want = [(x["player_key"], round(x["similarity_score"], 9)) for x in mine]
+            assert [(x[2], round(x[3], 9)) for x in sorted(got, key=lambda x: x[1]) if x[0] == r[0]] == want
+
+
 def test_similar_to_ignores_case_and_excludes_by_name(spark):
     rows = _pool(5, 60)
     df = spark.createDataFrame(rows, "player_key string, player_name string, primary_position string, features array<double>")
