@@ -49,6 +49,41 @@ def test_keyed_sink_runs_a_batch_again_and_finds_late_keys(spark, tmp_path, few)
     assert _held(spark, str(tmp_path / "other")) == [1, 2, 3] and sink.lookups[0].of_runs == 1
 
 
+def test_keyed_sink_writes_parts_from_few_tasks_and_reads_a_batch_once(spark, tmp_path):
+    """Before, each task wrote a file for every day, and a batch with repeats was kept whole."""
+    path, off = tmp_path / "table", "spark.sql.adaptive.coalescePartitions.enabled"
+    rows = [(i % 4000, i % 20, i % 95) for i in range(6000)]
+    batch = spark.createDataFrame(rows, "id long, day int, minute int")
+    kept = []
+    sink = KeyedSink(str(path), layout=("minute",), by=("day",))
+    known = sink._known
+    sink._known = lambda b, *rest: kept.append(b.count()) or known(b, *rest)
+    spark.conf.set(off, "false")
+    try:
+        sink(batch, 0)
+        sink(batch.withColumn("id", F.col("id") + 2000), 1)
+    finally:
+        spark.conf.unset(off)
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert kept == [4000, 4000]
+    for k in (0, 1):
+        assert len(list((path / f"batch={k}").rglob("*.parquet"))) < 20 + tasks
+    assert sorted(r["id"] for r in spark.read.parquet(str(path)).collect()) == list(range(6000))
+
+
+def test_messages_are_packed_and_parsed_once(spark):
+    from touchline.streaming import live
+
+    events = spark.range(3).selectExpr("id", "CAST(id AS INT) AS minute", "CAST('NaN' AS FLOAT) AS x")
+    decoded = live.decode_events(live.encode_events(events))
+    plan = decoded._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("from_json") == 1
+    assert [(r["id"], r["minute"], r["x"], r["team_name"]) for r in decoded.orderBy("id").collect()] == [(k, k, None, None) for k in range(3)]
+    odd = ["{bad", None, "null", '{"minute": 1}', '{"id": "x"}', '{"id": 7, "minute": "x"}']
+    messages = spark.createDataFrame([(v,) for v in odd], "value string")
+    assert [(r["id"], r["minute"]) for r in live.decode_events(messages).collect()] == [(7, None)]
+
+
 def test_keyed_sink_takes_text_keys(spark, tmp_path):
     path = str(tmp_path / "table")
     sink = KeyedSink(path, key="name", few=1)

@@ -50,7 +50,7 @@ class KeyedSink:
     An event is new if no earlier batch stored its key, however late it comes; no state is
     kept that could forget a key or drop an event. Each batch has folders of its own, so
     one that is run again replaces what it wrote. `by` partitions the table; `layout`
-    ranges and sorts the files; ranges split a match of any size, as hashing its id would
+    ranges and sorts the files of a part; ranges split a match of any size, as hashing its id would
     not. `then` is given the new events as stored. Keys are whole numbers or text; rows
     without a key are kept once per batch. `lookups` says what each batch has opened.
     """
@@ -69,14 +69,17 @@ class KeyedSink:
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         spark, schema = batch.sparkSession, batch.schema
         index = self._manifest(spark, schema, batch_id)
-        batch = batch.persist()
+        # One row per key is kept for the several passes that follow.
+        batch = batch.dropDuplicates([self.key]).persist()
         try:
             known = self._known(batch, index, batch_id)
-            fresh = batch.dropDuplicates([self.key])
+            fresh = batch
             if known is not None:
                 fresh = fresh.join(known, self.key, "left_anti").select(*batch.columns)
             if self.layout:
-                fresh = fresh.repartitionByRange(*self.layout, self.key).sortWithinPartitions(*self.layout, self.key)
+                # Parts of the table first: a task writes to the few that its range meets.
+                order = list(dict.fromkeys((*self.by, *self.layout, self.key)))
+                fresh = fresh.repartitionByRange(*order).sortWithinPartitions(*order)
             own = f"{self.path}/batch={batch_id}"
             fresh.write.mode("overwrite").partitionBy(*self.by).parquet(own)
         finally:
@@ -160,7 +163,7 @@ class KeyedSink:
         files: list[dict] = []
         wanted: Column | None = None
         if index:
-            rows = batch.select(key).where(F.col(key).isNotNull()).distinct().limit(self.few + 1).collect()
+            rows = batch.select(key).where(F.col(key).isNotNull()).limit(self.few + 1).collect()
             if len(rows) <= self.few:
                 keys = sorted(r[0] for r in rows)
                 files = [r for r in index if _any_between(keys, r["low"], r["high"])]
