@@ -118,6 +118,17 @@ def test_similar_all_deals_each_vector_once(spark, monkeypatch):
     assert listed[-1].count() <= len(rows) * neighbours.STREAMS * 6
 
 
+def test_similar_all_lists_rows_that_come_twice_twice(spark):
+    draw = np.random.default_rng(10)
+    rows = [(i, f"p{i}", "GK", draw.normal(size=3).tolist()) for i in range(40)]
+    rows += rows[::4]
+    df = spark.createDataFrame(rows, "player_key long, player_name string, primary_position string, features array<double>")
+    got = similar_all(df, 5, block_rows=8).select("query_key", "rank", "match_key").collect()
+    for target in ("p0", "p1", "p22"):
+        want = [r["player_key"] for r in similar_to(df, target, 5).collect()]
+        assert [x[2] for x in sorted(got, key=lambda x: x[1]) if x[0] == int(target[1:])] == want
+
+
 @pytest.mark.parametrize("mismatch", [0.0, -0.5, 1.5])
 def test_similar_all_takes_any_penalty(spark, mismatch):
     draw = np.random.default_rng(9)
