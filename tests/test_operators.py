@@ -301,3 +301,68 @@ def test_stored_index_equals_a_search_of_the_whole_pool(spark, tmp_path):
         assert re.search(r"PartitionFilters: \[[^\]]*_block", plan)
     assert seen[0][0] < seen[0][1] / 3  # most blocks are not read
     assert index.lookup("nobody").count() == 0
+
+
+def _all_pairs(left, right):
+    """Best of all pairs by score, letter-for-letter equality and place: (place, score, parts)."""
+    best = []
+    for a, s in left:
+        ranked = []
+        for j, (b, u) in enumerate(right):
+            ns, ts, tm = similarity_points(a, b), similarity_points(s, u), int(s == u)
+            ranked.append((-(75 * ns + 15 * ts + 10 * tm), a != b, j, ns, ts, tm))
+        score, _, j, ns, ts, tm = min(ranked)
+        best.append((j, -score, ns, ts, tm))
+    return best
+
+
+def test_names_near_in_letters_are_the_best_of_all_pairs_or_told_to_be_open():
+    from touchline.operators.letters import near_in_letters
+
+    draw = np.random.default_rng(12)
+    for trial in range(24):
+        letters = list(("ab1", "abcde 0123", "éz9😀")[trial % 3])
+        word = lambda: "abc" + "".join(draw.choice(letters, draw.integers(0, (3, 8, 14)[trial % 4 % 3] + 1)))
+        names, market = [word() for _ in range(25)] + [""], [word() for _ in range(80)]
+        market += ["".join(draw.permutation(list(n))) for n in names[:8]] + [n[:-2] for n in names[8:14]]
+        market += [n + "z" for n in names[14:20]] + [""] * (trial % 2)
+        teams = ["x fc", "x fd", "y united", ""]
+        left = [(n, teams[draw.integers(4)]) for n in names]
+        right = [(n, teams[draw.integers(3)]) for n in market]
+        got, beyond = near_in_letters(*map(list, zip(*left)), *map(list, zip(*right)))
+        for found, other, want in zip(got, beyond, _all_pairs(left, right)):
+            assert found == want if found[1] > other else found[1] <= want[1] <= max(found[1], other)
+
+
+def test_names_of_a_large_block_are_compared_with_few(monkeypatch):
+    """Of 4,000 names that differ in digits each is compared with some dozens."""
+    from touchline.operators import letters
+
+    draw = np.random.default_rng(13)
+    names = [f"blue ring {n}" for n in draw.choice(900_000, 8000, replace=False) + 100_000]
+    teams = [f"brand#{n} fc" for n in draw.integers(0, 25, 8000)]
+    compared = []
+    plain = letters.similarity_points_of
+    monkeypatch.setattr(letters, "similarity_points_of", lambda a, b, i, j: compared.append(len(i)) or plain(a, b, i, j))
+    got, beyond = letters.near_in_letters(names[:4000], teams[:4000], names[4000:], teams[4000:])
+    assert sum(compared) < 4000 * 200
+    assert sum(g[1] > b for g, b in zip(got, beyond)) > 400
+
+
+def test_best_match_of_large_blocks_is_that_of_small_ones(spark, monkeypatch):
+    from touchline.operators import matching
+
+    monkeypatch.setattr(matching, "REST_ROWS", (40, 70))
+    monkeypatch.setattr(matching, "LEAST_REST_ROWS", 40)
+    monkeypatch.setattr(matching, "LETTER_ROWS", (40, 50))
+    monkeypatch.setattr(matching, "LEAST_LETTER_ROWS", 40)
+    draw = np.random.default_rng(14)
+    stems = ["anna", "annie", "blue ring", "blue rod"]
+    name = lambda top: f"{stems[draw.integers(4)]} {draw.integers(top)}"
+    left = [(name(3000), [f"Brand#{i % 5} FC", None][i % 6 == 0]) for i in range(150)] + [("Ann", "x"), (None, "x")]
+    right = [(name(3000), [f"brand#{i % 7} fc", None][i % 5 == 0]) for i in range(200)] + [("ann o'neil ", "x"), ("ann", None)]
+    right += right[:20] + [(n.replace("b", "B"), t) for n, t in right[:40]]
+    sides = [names_with_blocks(spark.createDataFrame(s, "n string, t string"), "n", "t") for s in (left, right)]
+    want = sorted(map(str, best_match(*sides).collect()))
+    # One of the two blocks is large.
+    assert sorted(map(str, best_match(*sides, large_block=6000).collect())) == want and len(want) > 100
