@@ -355,3 +355,32 @@ def test_facts_and_marts_store_no_wide_table(spark, tmp_path):
         assert got.count() and got.exceptAll(want).count() == want.exceptAll(got).count() == 0, name
     stored = set(layers.warehouse(spark, home)._stored)
     assert "dim_player" in stored and not stored & set(layers.WIDE)
+
+
+def test_rows_of_keys_that_come_once_are_not_shuffled(spark, monkeypatch):
+    """Marks tell keys that come again; the result is that without marks, also where a bit
+    stands for many keys."""
+    from touchline import config
+    from touchline.operators import rows as ops
+    from touchline.plans import silver
+
+    names = ["player_name", "season", "club", "competition", "club_country", "league_rank", "contract_expiry"]
+    names += ["weekly_salary", "annual_salary", "_source_file", *config.PLAYER_TEXT, *config.PLAYER_INTS, *config.PLAYER_DOUBLES]
+    given = []
+    for i in range(120):
+        # Every fifth key comes twice, with other gaps; some keys hold nulls.
+        k = i if i % 5 else i - i % 10
+        key = (f"p{k}" if k % 11 else None, "2023" if k % 7 else None, f"c{k % 3}" if k % 4 else None, f"{k % 2}. L" if k % 6 else None)
+        given.append(key + tuple(None if (i + j) % 4 == 0 else str((i * j) % 9) for j in range(len(names) - 4)))
+    bronze = spark.createDataFrame(given, ", ".join(f"`{n}` string" for n in names)).repartition(5)
+    want = sorted(map(str, silver.stg_players(bronze).collect()))
+    for words in (1 << 10, 1):
+        monkeypatch.setattr(ops, "MARK_WORDS", words)
+        marks = silver.repeated_players(bronze).localCheckpoint()
+        assert len(marks.first()["marks"]) == words
+        marked = silver.stg_players(bronze, marks)
+        assert marked.columns == silver.stg_players(bronze).columns
+        assert sorted(map(str, marked.collect())) == want and 60 < len(want) < 110
+        again = ops.may_repeat(marks, silver._key_columns())
+        keyed = bronze.where("player_name IS NOT NULL AND season IS NOT NULL")
+        assert keyed.where(again).count() < keyed.count() or words == 1
